@@ -908,7 +908,7 @@ def drift_alert_stream(d: Inputs) -> DataFrame:
     middle = "timestamp'2024-01-16 00:00:00'"
     stream = None
     for part in (f"ts < {middle}", f"ts >= {middle}"):
-        series.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        series.filter(part).write.mode("append").parquet(f"{folder}/in")
         source = snapshots.snapshot_source(d.spark, f"{folder}/in", series.schema)
         stream = snapshots.drift_alert_stream(source, f"{folder}/state", f"{folder}/alerts", f"{folder}/progress")
         stream.awaitTermination()
