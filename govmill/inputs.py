@@ -111,7 +111,7 @@ class Inputs:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return scores.compliance_summary(self.gold, self.residency_from(self.stored("base")), self.stored("cc"),
+        return scores.compliance_summary(self.gold, self.residency_from(self.stored("base")), self.cc,
                                          self.defender, self.tag)
 
     @cached_property

@@ -46,15 +46,15 @@ def fullname_columns(product_asset: DataFrame, asset_column: DataFrame, column_c
     assets need distinct (product, column) pairs.
     """
     wanted = classification.filter(F.col("ClassificationDisplayName") == target).select("ClassificationId")
-    hits = (column_class.join(wanted, "ClassificationId", "left_semi")
-            .join(asset_column, ["DataAssetId", "ColumnId"], "left_semi")
-            .select("DataAssetId", "ColumnId").distinct())
+    marked = column_class.join(wanted, "ClassificationId", "left_semi").select("DataAssetId", "ColumnId").distinct()
+    hits = asset_column.join(marked, ["DataAssetId", "ColumnId"]).select("DataAssetId", "ColumnId")
     spread = hits.groupBy("ColumnId").agg(F.min("DataAssetId").alias("_lo"), F.max("DataAssetId").alias("_hi"))
     own = spread.filter("_lo = _hi").groupBy(F.col("_lo").alias("DataAssetId")).agg(F.count("*").alias("n"))
     shared = hits.join(spread.filter("_lo <> _hi").select("ColumnId"), "ColumnId", "left_semi")
-    pairs = product_asset.select("DataProductId", "DataAssetId").distinct()
-    counted = pairs.join(own, "DataAssetId").select("DataProductId", "n")
-    crossing = (pairs.join(shared, "DataAssetId").select("DataProductId", "ColumnId").distinct()
+    # Assignments are made distinct after the join, when only assets with hits are left.
+    links = product_asset.select("DataProductId", "DataAssetId")
+    counted = links.join(own, "DataAssetId").distinct().select("DataProductId", "n")
+    crossing = (links.join(shared, "DataAssetId").select("DataProductId", "ColumnId").distinct()
                 .groupBy("DataProductId").agg(F.count("*").alias("n")))
     return (counted.unionByName(crossing).groupBy("DataProductId")
             .agg(F.sum("n").alias("FullNameColumnCount")))
@@ -93,12 +93,13 @@ def applicability(categorised: DataFrame) -> DataFrame:
 
 
 def base_with_pii(base: DataFrame, classification: DataFrame) -> DataFrame:
-    """Add the full-name flag and count; products the classification does not know get zero."""
-    flags = first_per_key(
-        classification.select(normalise_id(F.col("DataProductId")).alias("DataProductId"),
-                              F.col("HasFullNameClassification").cast("int"),
-                              F.col("FullNameColumnCount").cast("int")),
-        ["DataProductId"], [F.desc("HasFullNameClassification"), F.desc("FullNameColumnCount")])
+    """Add the full-name flag and count; products the classification does not know get zero.
+
+    Ids that differ only in case or blanks are one product, with the largest flag and count.
+    """
+    flags = classification.groupBy(normalise_id(F.col("DataProductId")).alias("DataProductId")).agg(
+        F.max(F.col("HasFullNameClassification").cast("int")).alias("HasFullNameClassification"),
+        F.max(F.col("FullNameColumnCount").cast("int")).alias("FullNameColumnCount"))
     return base.join(flags, "DataProductId", "left").fillna(
         0, ["HasFullNameClassification", "FullNameColumnCount"])
 

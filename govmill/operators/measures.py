@@ -68,10 +68,14 @@ def measures_pii(products: DataFrame, classification: DataFrame, inventory: Data
         classification.agg(F.countDistinct(F.when(F.col("HasFullNameClassification") == 1, F.col("DataProductId"))).alias("m26_full_name")))
 
 
+def _patch_mean() -> Column:
+    clear = F.coalesce("PendingUpdatesTotal", F.lit(0)) == 0
+    return F.avg(F.when(clear, 100.0).otherwise(0.0)).alias("m19_avg_patch_score")
+
+
 def measure_patch(cc: DataFrame) -> DataFrame:
     """M19: 100 where nothing is pending, otherwise 0. Not the scorecard's patch rule."""
-    clear = F.coalesce("PendingUpdatesTotal", F.lit(0)) == 0
-    return cc.agg(F.avg(F.when(clear, 100.0).otherwise(0.0)).alias("m19_avg_patch_score"))
+    return cc.agg(_patch_mean())
 
 
 def measures_cc(cc: DataFrame, queue: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def measures_cc(cc: DataFrame, queue: DataFrame) -> DataFrame:
 def measures_scores(cc: DataFrame, defender: DataFrame, residency: DataFrame, tag: DataFrame) -> DataFrame:
     """M18, M19, M22, M28, M29: mean scores."""
     return side_by_side(
-        cc.agg(F.avg("CCForPIIScore").alias("m18_avg_cc_score")), measure_patch(cc),
+        cc.agg(F.avg("CCForPIIScore").alias("m18_avg_cc_score"), _patch_mean()),
         defender.agg(F.avg("progressScore").alias("m22_avg_defender_score")),
         residency.agg(F.avg("ResidencyScorePct").alias("m28_avg_residency_score")),
         tag.agg(F.avg("TagScorePct").alias("m29_avg_tag_score")))

@@ -29,7 +29,7 @@ def enforce_tag_policy(resource: DataFrame) -> DataFrame:
                                         before.alias("before"), value.alias("after")))
 
     changes = F.array_compact(F.array(change("origin", V.ORIGIN_TAG, origin), change("zone", V.ZONE_TAG, zone)))
-    return governed.select("ResourceId", F.inline(changes))
+    return governed.select("ResourceId", F.inline_outer(changes)).filter("rule IS NOT NULL")
 
 
 def audit_managed_identity(resource: DataFrame) -> DataFrame:

@@ -237,17 +237,18 @@ def product_union(gold: DataFrame, cc: DataFrame, defender: DataFrame, tag: Data
 
 
 def _product_rows(gold: DataFrame, cc: DataFrame, defender: DataFrame, tag: DataFrame) -> DataFrame:
-    def rows(df: DataFrame, key: str, name: Column, domain: str | None = None, score: Column | None = None) -> DataFrame:
-        return df.select(normalise_id(F.col(key)).alias("DataProductId"), name.alias("DataProductDisplayName"),
-                         F.lit(domain).alias("domain"), (F.lit(None) if score is None else score).cast("double").alias("score"))
+    """Narrow rows of product, name, domain and score. A confidential-compute row also has a patch score."""
+    def rows(df: DataFrame, key: str, name: Column, scored: dict[str, Column] | None = None) -> DataFrame:
+        pairs = (scored or {None: F.lit(None)}).items()
+        narrow = F.array(*(F.struct(F.lit(d).cast("string").alias("domain"), c.cast("double").alias("score")) for d, c in pairs))
+        return df.select(normalise_id(F.col(key)).alias("DataProductId"), name.alias("DataProductDisplayName"), F.inline(narrow))
 
     nameless = F.lit(None).cast("string")
     return reduce(DataFrame.unionByName, [
         rows(gold, "DataProductID", F.col("DataProductDisplayName")),
-        rows(cc, "DataProductId", F.col("DataProductDisplayName"), "cc", F.col("CCForPIIScore")),
-        rows(cc, "DataProductId", nameless, "patch", patch_points()),
-        rows(defender, "dataProductId", nameless, "defender", F.col("progressScore")),
-        rows(tag, "dataProductId", F.col("dataProductDisplayName"), "tag", F.col("TagScorePct")),
+        rows(cc, "DataProductId", F.col("DataProductDisplayName"), {"cc": F.col("CCForPIIScore"), "patch": patch_points()}),
+        rows(defender, "dataProductId", nameless, {"defender": F.col("progressScore")}),
+        rows(tag, "dataProductId", F.col("dataProductDisplayName"), {"tag": F.col("TagScorePct")}),
     ])
 
 

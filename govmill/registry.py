@@ -25,7 +25,7 @@ TEXT_RULES = (
 )
 SCAN_RULES = (
     text_jobs.Rule("mail2.example.com", "mail2.example.com", pattern=False),
-    text_jobs.Rule("MailAddress", text_jobs.REDACTION_PATTERNS[0].find),
+    text_jobs.Rule("MailAddress", text_jobs.REDACTION_PATTERNS[0].find, needs="@"),
     *text_jobs.FORBIDDEN_PATTERNS,
 )
 
@@ -746,7 +746,7 @@ def measures_cc(d: Inputs) -> DataFrame:
 
 @query
 def measures_scores(d: Inputs) -> DataFrame:
-    return measures.measures_scores(d.stored("cc"), d.defender, d.residency_from(d.stored("base")), d.tag)
+    return measures.measures_scores(d.cc, d.defender, d.residency_from(d.stored("base")), d.tag)
 
 
 @query

@@ -7,6 +7,7 @@ JSON property bag.
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,12 +21,25 @@ DRIVER_TABLES = (
 ).split()
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its schema is read once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _tables[key]
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived frame, or a driver table, read from ``sf_dir``."""
     if name in DRIVER_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    tables = {t: f"SELECT * FROM parquet.`{sf_dir}/{t}.parquet`" for t in DRIVER_TABLES}
-    return spark.sql(with_clause(f"SELECT * FROM {name}", tables | load_views(FIXTURES_SQL)))
+        return driver_table(spark, sf_dir, name)
+    sql = with_clause(f"SELECT * FROM {name}", load_views(FIXTURES_SQL)).replace("{", "{{").replace("}", "}}")
+    used = [t for t in DRIVER_TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", sql)]
+    sql = re.sub(rf"\b(FROM|JOIN) ({'|'.join(DRIVER_TABLES)})\b", r"\1 {\2}", sql)
+    return spark.sql(sql, **{t: driver_table(spark, sf_dir, t) for t in used})
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,8 +61,8 @@ def series_alerts(series: DataFrame, threshold: float = V.SPIKE_THRESHOLD) -> Da
     move = F.when(F.abs(pct) >= threshold, alert(F.when(pct > 0, "spike").otherwise("drop"), "Prevtotal", "total", pct))
     place = F.when(is_true(F.col("region") != F.col("Prevregion")),
                    alert(F.lit("RegionChanged"), "Prevregion", "region", F.lit(None).cast("double")))
-    return df.select("key", "ts", F.inline(F.array_compact(F.array(move, place)))).select(
-        "key", "kind", "prev", "value", "pct", "ts")
+    return (df.select("key", "ts", F.inline_outer(F.array_compact(F.array(move, place)))).filter("kind IS NOT NULL")
+            .select("key", "kind", "prev", "value", "pct", "ts"))
 
 
 def drift_alert_stream(source: DataFrame, state_path: str, alert_path: str, checkpoint: str,
