@@ -16,18 +16,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SLICES = 32
 ROLLING_BLOCK = 4096
 MAD_TO_SIGMA = 1.4826
+NEVER = 253_402_300_799_000_000  # The last second of the year 9999, in microseconds.
 
 
 def time_slicer(df: DataFrame, time: str, slices: int = SLICES) -> Callable[[str], Column]:
     """Slice number of a time. The cut points are fewer than ``slices`` numbers, whatever the input size."""
-    def micros(column: str) -> Column:
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-
     shares = [i / slices for i in range(1, slices)]
-    cuts = df.select(micros(time).alias("t")).approxQuantile("t", shares, 0.005) if shares else []
+    micros = df.select(F.unix_micros(F.col(time).cast("timestamp")).cast("double").alias("t"))
+    cuts = micros.approxQuantile("t", shares, 0.005) if shares else []
     # A sum of comparisons: lambda expressions in join keys can mislead the optimizer's filter inference.
-    bounds = sorted(set(cuts)) or [float("inf")]
-    return lambda column: reduce(Column.__add__, ((micros(column) >= c).cast("int") for c in bounds))
+    # A single time that is never reached stands in where there is no cut point.
+    bounds = [F.timestamp_micros(F.lit(int(c))) for c in sorted(set(cuts)) or [NEVER]]
+    return lambda column: reduce(Column.__add__, (
+        (F.col(column).cast("timestamp") >= b).cast("int") for b in bounds))
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str],
