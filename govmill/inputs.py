@@ -109,10 +109,20 @@ class Inputs:
     def defender(self) -> DataFrame:
         return self.defender_from(self.stored("base"))
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        return scores.judged_resources(self.stored("base"), self.resource, self.pricing, self.assessment, self.alert)
+
+    @cached_property
+    def defender_points(self) -> DataFrame:
+        """The threat-protection card without audit texts, for jobs that only read scores."""
+        points = scores.defender_points(scores.defender_evidence(self.stored("base"), self.judged), RUN_TS)
+        return points.withColumnRenamed("DataProductId", "dataProductId")
+
     @cached_property
     def summary(self) -> DataFrame:
         return scores.compliance_summary(self.gold, self.residency_from(self.stored("base")), self.cc,
-                                         self.defender, self.tag)
+                                         self.defender_points, self.tag)
 
     @cached_property
     def eligibility(self) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from govmill.functions import fixed_values as V
 from govmill.functions.columns import is_true
-from govmill.operators.timeseries import asof_bounded, previous_row
+from govmill.operators.timeseries import asof_many, previous_row
 
 
 def _change(now: Column, before: Column) -> Column:
@@ -63,15 +63,15 @@ def kpi_timeline(catalog: DataFrame, asset: DataFrame, residency: DataFrame,
     Only rows where both were found stay.
     """
     left = catalog.select("SnapshotUtc", F.col("TotalAssets").cast("bigint").alias("TotalPurviewAssets"), "IsApproximate")
-    with_assets = asof_bounded(left, asset_totals_by_snapshot(asset), "SnapshotUtc", "SnapUtc",
-                               ["TotalProductAssets"], seconds).filter("TotalProductAssets IS NOT NULL")
     totals = ["TotalDataProducts", "ProductsMissingResidency", "ProductsWithResidency"]
-    both = asof_bounded(with_assets, residency_totals_by_snapshot(residency), "SnapshotUtc", "SnapUtc", totals, seconds)
+    both = asof_many(left, "SnapshotUtc", [
+        (asset_totals_by_snapshot(asset), "SnapUtc", ["TotalProductAssets"]),
+        (residency_totals_by_snapshot(residency), "SnapUtc", totals)], seconds)
 
     def ratio(a: str, b: str) -> Column:
         return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
 
-    return both.filter("TotalDataProducts IS NOT NULL").select(
+    return both.filter("TotalProductAssets IS NOT NULL AND TotalDataProducts IS NOT NULL").select(
         "SnapshotUtc", "TotalPurviewAssets", "IsApproximate", "TotalProductAssets", *totals,
         ratio("ProductsWithResidency", "TotalDataProducts").alias("ResidencyCoveragePct"),
         ratio("TotalProductAssets", "TotalPurviewAssets").alias("ProductAssetsToPurviewAssetsRatio"))

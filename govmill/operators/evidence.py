@@ -333,8 +333,12 @@ def defender_resources(resource: DataFrame, pricing: DataFrame, assessment: Data
 
 def defender_rollup(resource: DataFrame, pricing: DataFrame, assessment: DataFrame, alert: DataFrame) -> DataFrame:
     """Protection evidence per product."""
-    r = defender_resources(resource, pricing, assessment, alert)
-    return r.groupBy("DataProductId").agg(
+    return rollup_resources(defender_resources(resource, pricing, assessment, alert))
+
+
+def rollup_resources(judged: DataFrame) -> DataFrame:
+    """Product counts from judged resources (:func:`defender_resources`)."""
+    return judged.groupBy("DataProductId").agg(
         F.count_if("isApplicable").cast("int").alias("applicableResourceCount"),
         F.count_if("isConfigured").cast("int").alias("configuredResourceCount"),
         F.count_if("isRunning").cast("int").alias("runningResourceCount"),
@@ -348,9 +352,13 @@ def defender_audit_json(resource: DataFrame, pricing: DataFrame, assessment: Dat
     Texts are cut at a fixed length. One entry is never shorter than ``least``, so only that many
     leading resources of a product can reach the text, and only those are gathered.
     """
+    return audit_resources(defender_resources(resource, pricing, assessment, alert))
+
+
+def audit_resources(r: DataFrame) -> DataFrame:
+    """Audit texts from judged resources (:func:`defender_resources`)."""
     least = 70
     most = V.JSON_LIMIT // least + 1
-    r = defender_resources(resource, pricing, assessment, alert)
     where = ("ResourceId", "ResourceType", "SubscriptionId", "ResourceGroup", "Location")
     plain = F.struct(
         F.col("ResourceId").alias("id"), resource_name(F.col("ResourceId")).alias("name"),

@@ -17,8 +17,8 @@ from govmill.functions.columns import (
 )
 from govmill.functions.schemas import assert_exact_columns
 from govmill.operators.evidence import (
-    approved_region_lookup, cc_evidence, defender_audit_json, defender_rollup, residency_evidence,
-    sku_lookup, tagged,
+    approved_region_lookup, audit_resources, cc_evidence, defender_resources, residency_evidence,
+    rollup_resources, sku_lookup, tagged,
 )
 from govmill.operators.keyed import first_per_key
 
@@ -154,12 +154,12 @@ def json_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.substring(F.coalesce(c, f), 1, V.JSON_LIMIT) for c, f in fills.items()})
 
 
-def defender_evidence(base: DataFrame, resource: DataFrame, pricing: DataFrame, assessment: DataFrame,
-                      alert: DataFrame) -> DataFrame:
-    """Protection evidence joined to the base; counts are zero where there is none."""
-    asked = base.filter("DefenderApplicable").select("DataProductId")
-    mine = tagged(resource).join(asked, "DataProductId", "left_semi")
-    found = defender_rollup(mine, pricing, assessment, alert).withColumn("_found", F.lit(True))
+def defender_evidence(base: DataFrame, judged: DataFrame) -> DataFrame:
+    """Protection evidence joined to the base; counts are zero where there is none.
+
+    ``judged`` are the resources of :func:`judged_resources`.
+    """
+    found = rollup_resources(judged).withColumn("_found", F.lit(True))
     df = base.select("DataProductId", "DefenderApplicable").join(found, "DataProductId", "left")
     counts = ["applicableResourceCount", "configuredResourceCount", "runningResourceCount", "highActiveAlertCount"]
     return (df.fillna(0, counts).withColumn("resourceFound", is_true(F.col("_found")))
@@ -168,6 +168,13 @@ def defender_evidence(base: DataFrame, resource: DataFrame, pricing: DataFrame,
             .withColumn("hasUnhealthyAssessments", is_true(F.col("hasUnhealthyAssessments"))).drop("_found"))
 
 
+def judged_resources(base: DataFrame, resource: DataFrame, pricing: DataFrame, assessment: DataFrame,
+                     alert: DataFrame) -> DataFrame:
+    """Resources of the products the check applies to, with plan, check and alert facts."""
+    asked = base.filter("DefenderApplicable").select("DataProductId")
+    return defender_resources(tagged(resource).join(asked, "DataProductId", "left_semi"), pricing, assessment, alert)
+
+
 def _protection_ladder(bands: dict[str, Column]) -> Column:
     return ladder(
         (~F.col("resourceFound"), bands["not_found"]),
@@ -179,21 +186,24 @@ def _protection_ladder(bands: dict[str, Column]) -> Column:
         otherwise=bands["healthy"])
 
 
+def defender_points(evidence: DataFrame, run_ts: str) -> DataFrame:
+    """Score and state of every base product, without the audit texts."""
+    bands = {k: verdict(b, "score", "state") for k, b in V.DEFENDER_BANDS.items()}
+    band = F.when(~F.col("DefenderApplicable"), bands["na"]).otherwise(_protection_ladder(bands))
+    return evidence.withColumn("_band", band).withColumns({
+        "snapshotUtc": _stamp(run_ts), "progressScore": F.col("_band.score"), "progressState": F.col("_band.state")})
+
+
 def score_defender(base: DataFrame, resource: DataFrame, pricing: DataFrame, assessment: DataFrame,
                    alert: DataFrame, run_ts: str) -> DataFrame:
-    """Threat-protection scorecard."""
-    bands = {k: verdict(b, "score", "state") for k, b in V.DEFENDER_BANDS.items()}
-    df = defender_evidence(base, resource, pricing, assessment, alert)
-    asked = base.filter("DefenderApplicable").select("DataProductId")
-    audit = defender_audit_json(tagged(resource).join(asked, "DataProductId", "left_semi"), pricing, assessment, alert)
+    """Threat-protection scorecard with its audit texts."""
+    judged = judged_resources(base, resource, pricing, assessment, alert)
+    df = defender_points(defender_evidence(base, judged), run_ts)
     details = F.when(F.col("DefenderApplicable"), ladder(
         (~F.col("resourceFound"), F.lit(V.DEFENDER_NOTES["no_resource"])),
         (~F.col("applicable"), F.lit(V.DEFENDER_NOTES["none_applicable"])),
         otherwise=F.lit(V.DEFENDER_NOTES["evaluated"])))
-    band = F.when(~F.col("DefenderApplicable"), bands["na"]).otherwise(_protection_ladder(bands))
-    out = json_defaults(df.join(audit, "DataProductId", "left").withColumn("detailsJson", details)).withColumn(
-        "_band", band).withColumns({
-            "snapshotUtc": _stamp(run_ts), "progressScore": F.col("_band.score"), "progressState": F.col("_band.state")})
+    out = json_defaults(df.join(audit_resources(judged), "DataProductId", "left").withColumn("detailsJson", details))
     return assert_exact_columns(out.select(*(F.col(c).alias(c) for c in V.DEFENDER_COLUMNS)),
                                 V.DEFENDER_COLUMNS, "defender current")
 

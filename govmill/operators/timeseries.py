@@ -51,29 +51,41 @@ def previous_row(df: DataFrame, keys: Sequence[str], time: str, values: Sequence
             .select(*df.columns, *(F.col("_before")[v].alias(prefix + v) for v in values)))
 
 
-def asof_bounded(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
-                 values: Sequence[str], seconds: int, slices: int = SLICES) -> DataFrame:
-    """Every left row with the values of the newest right row at or before it.
+def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame, str, Sequence[str]]],
+              seconds: int, slices: int = SLICES) -> DataFrame:
+    """Every left row with the values of the newest row of each right frame at or before it.
 
+    A right frame comes with its time column and the values wanted from it; its times are unique.
     The gap is counted in whole seconds and may not pass ``seconds``; otherwise the values are null.
-    Right times are unique. Both sides are stacked in time order and the last right row is carried
-    forward, so the work grows with rows, not with pairs of rows.
+    All frames are stacked in time order and the last row of each right frame is carried forward, so
+    the work grows with rows, not with pairs of rows, and one shuffle serves all right frames.
     """
-    held = F.struct(F.col(right_time).alias("_at"), *values)
-    stacked = left.select(F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
-                          F.struct(*left.columns).alias("_left")).unionByName(
-        right.select(F.col(right_time).alias("_t"), F.lit(0).alias("_side"), held.alias("_right")),
-        allowMissingColumns=True)
+    parts = [left.select(F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))]
+    held = [f"_r{i}" for i in range(len(rights))]
+    for name, (right, time, values) in zip(held, rights):
+        parts.append(right.select(F.col(time).alias("_t"), F.lit(0).alias("_side"),
+                                  F.struct(F.col(time).alias("_at"), *values).alias(name)))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     sliced = stacked.withColumn("_slice", time_slicer(left, left_time, slices)("_t"))
     in_slice = Window.partitionBy("_slice").orderBy("_t", "_side")
     across = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    edges = (sliced.groupBy("_slice")
-             .agg(F.max_by("_right", F.when(F.col("_side") == 0, F.col("_t"))).alias("_edge"))
-             .select("_slice", F.last("_edge", ignorenulls=True).over(across).alias("_carried")))
-    local = sliced.withColumn("_local", F.last("_right", ignorenulls=True).over(in_slice)).filter("_side = 1")
-    near = local.join(edges, "_slice", "left").withColumn("_match", F.coalesce("_local", "_carried"))
-    gap = F.unix_seconds(F.col("_t").cast("timestamp")) - F.unix_seconds(F.col("_match._at").cast("timestamp"))
-    return near.select("_left.*", *(F.when(gap <= seconds, F.col(f"_match.{v}")).alias(v) for v in values))
+    edges = sliced.groupBy("_slice").agg(*(F.max_by(h, F.when(F.col(h).isNotNull(), F.col("_t"))).alias(h) for h in held))
+    edges = edges.select("_slice", *(F.last(h, ignorenulls=True).over(across).alias(f"{h}_carried") for h in held))
+    local = sliced.withColumns({f"{h}_local": F.last(h, ignorenulls=True).over(in_slice) for h in held}).filter("_side = 1")
+    near = local.join(edges, "_slice", "left").select(
+        "_t", "_left", *(F.coalesce(f"{h}_local", f"{h}_carried").alias(h) for h in held))
+
+    def kept(name: str, value: str) -> Column:
+        gap = F.unix_seconds(F.col("_t").cast("timestamp")) - F.unix_seconds(F.col(f"{name}._at").cast("timestamp"))
+        return F.when(gap <= seconds, F.col(f"{name}.{value}")).alias(value)
+
+    return near.select("_left.*", *(kept(h, v) for h, (_, _, values) in zip(held, rights) for v in values))
+
+
+def asof_bounded(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
+                 values: Sequence[str], seconds: int, slices: int = SLICES) -> DataFrame:
+    """As-of join with one right frame; see :func:`asof_many`."""
+    return asof_many(left, left_time, [(right, right_time, values)], seconds, slices)
 
 
 def asof_rank(left: DataFrame, right: DataFrame, left_time: str, right_time: str,

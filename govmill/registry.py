@@ -491,7 +491,7 @@ def coverage_check(d: Inputs) -> DataFrame:
     base = d.stored("base")
     return checks.coverage_check(base, {
         "tag": (d.tag, "dataProductId"), "residency": (d.residency_from(base), "DataProductID"), "cc": (d.cc, "DataProductId"),
-        "defender": (d.defender.select("dataProductId"), "dataProductId"), "queue": (d.queue, "DataProductId")})
+        "defender": (d.defender_points, "dataProductId"), "queue": (d.queue, "DataProductId")})
 
 
 @query
@@ -566,7 +566,7 @@ def kpi_timeline(d: Inputs) -> DataFrame:
 
 @query
 def product_union(d: Inputs) -> DataFrame:
-    return scores.product_union(d.gold, d.cc, d.defender, d.tag)
+    return scores.product_union(d.gold, d.cc, d.defender_points, d.tag)
 
 
 @query
@@ -614,7 +614,7 @@ def defender_audit_texts(d: Inputs) -> DataFrame:
 @query
 def defender_evidence_state(d: Inputs) -> DataFrame:
     base = d.stored("base")
-    found = scores.defender_evidence(base, d.resource, d.pricing, d.assessment, d.alert).filter("DefenderApplicable")
+    found = scores.defender_evidence(base, d.judged).filter("DefenderApplicable")
     return scores.defender_evidence_state(found, base.filter("IsHybridComputeMachine"))
 
 
@@ -746,7 +746,7 @@ def measures_cc(d: Inputs) -> DataFrame:
 
 @query
 def measures_scores(d: Inputs) -> DataFrame:
-    return measures.measures_scores(d.cc, d.defender, d.residency_from(d.stored("base")), d.tag)
+    return measures.measures_scores(d.cc, d.defender_points, d.residency_from(d.stored("base")), d.tag)
 
 
 @query
