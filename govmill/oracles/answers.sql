@@ -257,7 +257,7 @@ SELECT OwnerSource, COUNT(*) AS n FROM o_owner GROUP BY OwnerSource
 SELECT COUNT(*) AS OwnerEmailMissing FROM o_cc c LEFT JOIN o_owner o ON o.DataProductId = c.DataProductId WHERE o.OwnerEmail IS NULL OR trim(o.OwnerEmail) = ''
 
 -- view: coverage_check
-SELECT 'tag' AS scorecard, COUNT(*) AS rows, COUNT(DISTINCT dataProductId) AS products, 0 AS missing, 0 AS "unknown" FROM o_tag
+SELECT 'tag' AS scorecard, COUNT(*) AS rows, COUNT(DISTINCT dataProductId) AS products, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS "unknown" FROM o_tag
 UNION ALL SELECT 'residency', COUNT(*), COUNT(DISTINCT DataProductID), 0, 0 FROM o_residency
 UNION ALL SELECT 'cc', COUNT(*), COUNT(DISTINCT DataProductId), 0, 0 FROM o_cc
 UNION ALL SELECT 'defender', COUNT(*), COUNT(DISTINCT dataProductId), 0, 0 FROM o_defender
@@ -554,11 +554,11 @@ UNION ALL SELECT doc_id, 'pattern', 'SubscriptionGuidArray' FROM documents WHERE
 UNION ALL SELECT doc_id, 'pattern', 'OwnerEmail' FROM documents WHERE regexp_matches("text", '(?im)OWNER_EMAIL.*@[A-Za-z0-9.-]+')
 
 -- view: leak_verdict
-SELECT 'raw' AS texts, SUM(a + b) AS total_findings, SUM(a + b) = 0 AS passed FROM (
+SELECT 'raw' AS texts, CAST(SUM(a + b) AS BIGINT) AS total_findings, SUM(a + b) = 0 AS passed FROM (
   SELECT CASE WHEN contains("text", 'mail2.example.com') THEN 1 ELSE 0 END AS a,
          CASE WHEN regexp_matches("text", '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 1 ELSE 0 END AS b FROM documents) x
 UNION ALL
-SELECT 'redacted', SUM(b), SUM(b) = 0 FROM (
+SELECT 'redacted', CAST(SUM(b) AS BIGINT), SUM(b) = 0 FROM (
   SELECT CASE WHEN regexp_matches(replace(t4, 'mail2.example.com', '<HOST>'), '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 1 ELSE 0 END AS b FROM o_redacted_all) y
 
 -- view: reference_lineage
