@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govmill.llm import byte_bpe, token_counts
+from govmill.llm import byte_bpe, jaccard_join, token_counts
+from govmill.llm.shared import ship
 
 CONTEXT_TOKENS = 1024  #: a document with more tokens is over the limit
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -31,6 +36,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
