@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govmill.llm import byte_bpe, jaccard_join, token_counts
+from govmill.llm import byte_bpe, decontaminate, jaccard_join, token_counts
 from govmill.llm.shared import ship
 
 CONTEXT_TOKENS = 1024  #: a document with more tokens is over the limit
@@ -27,6 +27,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -37,6 +41,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
