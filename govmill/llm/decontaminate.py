@@ -31,8 +31,8 @@ from govmill.llm import words
 SHINGLE = 5
 RADIUS = 7
 LEAST = 0.8
-#: Lengths of windows: each a fifth to two fifths longer than the one before, from a shingle on.
-LENGTHS = (5, 7, 10, 14, 20, 28, 40, 56, 80, 112, 160, 224, 320, 448, 640, 896)
+#: Lengths of windows, each about 1.4 times the one before, from a shingle on. Longer items are met by windows of the last.
+LENGTHS = (5, 7, 10, 14, 20, 28, 40, 56, 80, 112, 160, 224)
 PART = 1 << 14  #: words whose key bits are summed at a time
 ITEM_BYTES = 16_000_000  #: benchmark text of one block
 
@@ -41,21 +41,25 @@ def stride(length: int) -> int:
     return max(1, length // 4)
 
 
-def fingerprints(keys: np.ndarray, length: int, start: np.ndarray) -> np.ndarray:
-    """Majority bits of the words keys[start:start + length] for each (sorted) start."""
-    out = np.empty(len(start), np.uint64)
-    done = 0
-    while done < len(start):
-        first = start[done]
-        upto = max(done + 1, int(np.searchsorted(start, first + PART - length, "right")))
-        part = keys[first: start[upto - 1] + length]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1)
-        total = np.zeros((len(part) + 1, 64), np.int16)
-        np.cumsum(bits, axis=0, dtype=np.int16, out=total[1:])
-        at = start[done:upto] - first
-        most = (total[at + length] - total[at]) > length // 2
-        out[done:upto] = np.packbits(most, axis=1).view(np.uint64).ravel()
-        done = upto
+def fingerprints(keys: np.ndarray, cuts: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
+    """Majority bits of the words keys[start:start + length] for each length and its (sorted) starts.
+
+    Each of the 64 bits of a word is a byte of eight 64-bit numbers; the difference of two running sums of these holds 64
+    counts at once, exactly, as no count of a window reaches 256.
+    """
+    out = [np.empty(len(start), np.uint64) for _, start in cuts]
+    longest = max((length for length, _ in cuts), default=0)
+    for first in range(0, len(keys), PART):
+        part = keys[first: first + PART + longest]
+        lanes = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+        total = np.zeros((len(part) + 1, 8), np.uint64)
+        np.cumsum(lanes, axis=0, out=total[1:])
+        for (length, start), prints in zip(cuts, out, strict=True):
+            a, b = np.searchsorted(start, (first, first + PART))
+            if b > a:
+                at = start[a:b] - first
+                count = (total[at + length] - total[at]).view(np.uint8)
+                prints[a:b] = np.packbits(count > length // 2, axis=1).view(np.uint64).ravel()
     return out
 
 
@@ -113,7 +117,10 @@ class Index:
         for w, items in fits.items():
             item = np.repeat(np.array(items), stride(w))
             shift = np.tile(np.arange(stride(w)), len(items))
-            prints = fingerprints(keys, w, bound[item] + shift)
+            start = bound[item] + shift
+            order = np.argsort(start, kind="stable")
+            item, shift = item[order], shift[order]
+            prints = fingerprints(keys, [(w, start[order])])[0]
             self.tables[w] = item, shift, prints, [Block.of(prints, s) for s in (0, 16, 32, 48)]
 
     def similarity(self, item: int, present: np.ndarray) -> float:
@@ -126,10 +133,12 @@ class Index:
         keys, bound = words.word_keys(flat, offset, letters_only=True)
         row = np.repeat(np.arange(len(bound) - 1), np.diff(bound))
         tried: set[tuple[int, int, int]] = set()
-        for w, (item, shift, prints, blocks) in self.tables.items():
+        cuts = []
+        for w in self.tables:
             start = np.arange(0, len(keys) - w + 1, stride(w))
-            start = start[row[start] == row[start + w - 1]] if len(start) else start
-            mine = fingerprints(keys, w, start)
+            cuts.append((w, start[row[start] == row[start + w - 1]] if len(start) else start))
+        for (w, start), mine in zip(cuts, fingerprints(keys, cuts), strict=True):
+            item, shift, prints, blocks = self.tables[w]
             for block in blocks:
                 left, right = block.find(mine)
                 close = np.bitwise_count(mine[left] ^ prints[right]) <= RADIUS
