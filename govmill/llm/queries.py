@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govmill.llm import byte_bpe, decontaminate, jaccard_join, token_counts
+from govmill.llm import byte_bpe, decontaminate, jaccard_join, quality_lm, token_counts
 from govmill.llm.shared import ship
 
 CONTEXT_TOKENS = 1024  #: a document with more tokens is over the limit
@@ -27,6 +27,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that stay, with perplexity, score and the limit of their language."""
+    return quality_lm.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).where("keep")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +46,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
 }
