@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govmill.llm import byte_bpe, decontaminate, jaccard_join, quality_lm, token_counts
+from govmill.llm import byte_bpe, decontaminate, jaccard_join, quality_lm, token_counts, toxicity
 from govmill.llm.shared import ship
 
 CONTEXT_TOKENS = 1024  #: a document with more tokens is over the limit
@@ -23,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
