@@ -6,9 +6,9 @@ least T = ceil(s (n + m) / (1 + s)) of them.
 1. Inverted lists. A node enters the lists of the first n - ceil(s n) + 1 of its shingles, those that are frequent in a sample
    of documents last. Two linked nodes always meet in such a list, whatever the order; so the sample decides about speed
    alone, and passages that very many documents share hold lists together only where a document has little else.
-2. Candidates, in rounds. In each list (and band of lengths) all nodes are compared with the smallest one, which gives as
-   many pairs as nodes; links make classes. Then the nodes of a list that are still in different classes are
-   compared with each other, but for pairs that the triangle inequality of the Jaccard distance rules out.
+2. Candidates, in rounds. In each list (and band of lengths) all nodes are compared with the smallest one, which gives no
+   more pairs than nodes; links make classes. Then the nodes of a list that are still in different classes are
+   compared with each other. Pairs whose bit maps rule out the overlap that a link needs go no further.
 3. T-occurrence search of each query in blocks of its candidates (DivideSkip): of the candidates' inverted lists the
    shorter ones are merged with a heap, the L longest are only probed by binary search, and those that reach T remain.
 
@@ -56,6 +56,34 @@ def set_keys(key: np.ndarray, bound: np.ndarray) -> np.ndarray:
     return mixed(total[bound[1:]] - total[bound[:-1]] + mixed(np.diff(bound)))
 
 
+def parity_bits(key: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bit map of each set, whose bits tell whether an odd number of shingles fall on them, and the offsets of the maps.
+
+    A map has at least as many bits as its set has shingles, a power of two. The bits in which two maps differ are
+    at most as many as the shingles that one set has and the other has not. Halves XORed give the map of half the size.
+    """
+    n = np.diff(bound)
+    size = np.left_shift(1, np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64))
+    offset = np.concatenate([[0], np.cumsum(size)])
+    row = np.repeat(np.arange(len(n)), n)
+    place = offset[:-1][row] + (mixed(key ^ np.uint64(0x2545F4914F6CDD1D)) & (size[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=offset[-1]) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64), (offset // 64).astype(np.int32)
+
+
+#: Bits in which two maps differ, after folding the larger one to the size of the smaller (at most twice as large).
+_FOLD = "if(size({a}) > size({b}), zip_with(slice({a}, 1, cast(size({a}) / 2 as int)), slice({a}, cast(size({a}) / 2 as int) + 1, cast(size({a}) / 2 as int)), (x, y) -> x ^ y), {a})"
+_DIFFER = f"aggregate(zip_with({_FOLD.format(a='bits', b='query_bits')}, {_FOLD.format(a='query_bits', b='bits')}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+
+
+def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Those (node, query) whose bit maps do not rule out that they link: overlap <= (n + m - differing bits) / 2."""
+    mine = reps.select("node", "n", "bits")
+    other = reps.select(F.col("node").alias("query"), F.col("n").alias("m"), F.col("bits").alias("query_bits"))
+    bound = f"(n + m - {_DIFFER}) * (100 + {percent}) >= 2 * {percent} * (n + m)"
+    return pairs.join(mine, "node").join(other, "query").where(bound).select("node", "query")
+
+
 def _frequent(docs: DataFrame, size: int) -> np.ndarray:
     """Shingles that are frequent in the sample, sorted; only the order of prefixes depends on them."""
     total = max(1, docs.count())
@@ -72,7 +100,7 @@ def _frequent(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, n, node, prefix) of every document; documents with equal sets have the same node."""
+    """(id, n, node, prefix, bits) of every document; documents with equal sets have the same node."""
     late = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,12 +119,13 @@ def nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 prefix = key[order][place < take[row]]
                 node = set_keys(key, bound)
                 offset = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
+                bits, place = parity_bits(key, bound)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), pa.array(n, pa.int64()), _signed(node), pa.ListArray.from_arrays(pa.array(offset), _signed(prefix))],
-                    names=["id", "n", "node", "prefix"])
+                    [piece.column("id"), pa.array(n, pa.int64()), _signed(node), pa.ListArray.from_arrays(pa.array(offset), _signed(prefix)),
+                     pa.ListArray.from_arrays(pa.array(place), pa.array(bits))], names=["id", "n", "node", "prefix", "bits"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n bigint, node bigint, prefix array<bigint>")
+    return docs.mapInArrow(run, f"id {kind}, n bigint, node bigint, prefix array<bigint>, bits array<bigint>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -193,39 +222,42 @@ def _near(a: str, b: str, percent: int) -> str:
 
 def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Edges (a, b) between nodes that have the same classes as all links."""
-    reps = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min_by("prefix", "id").alias("prefix"), F.min("n").alias("n"), F.min("id").alias("id"))
+    reps = rows.where("n > 0 and id is not null").groupBy("node").agg(
+        *[F.min_by(c, "id").alias(c) for c in ("prefix", "bits")], F.min("n").alias("n"), F.min("id").alias("id"))
     posting = reps.select("node", "id", "n", F.explode("prefix").alias("h"))
     here = Window.partitionBy("h")
     posting = cut(posting.withColumn("df", F.count("*").over(here)).where("df > 1").drop("df"))
-    sets = cut(sets_of(docs, posting.select("id", "node").distinct(), size))
+    reps = cut(reps.drop("prefix").join(posting.select("node").distinct(), "node", "left_semi"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = cut(possible(pairs, reps, percent))
+        nodes_ = pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))).distinct()
+        return cut(verify(pairs, sets_of(docs, reps.select("id", "node").join(nodes_, "node", "left_semi"), size), percent))
+
     known, found = None, None
     for shift in (0.0, 0.5):
         band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + F.lit(shift))
-        lists = posting.withColumn("band", band)
-        if found is not None:
-            lists = _labelled(lists, found)
-        else:
-            lists = lists.withColumn("label", F.col("node"))
+        lists = (posting.withColumn("label", F.col("node")) if found is None else _labelled(posting, found)).withColumn("band", band)
         least = lists.groupBy("h", "band").agg(F.min(F.struct("node", "n", "label")).alias("q"), F.min("label").alias("low"), F.max("label").alias("high"))
         pairs = (lists.join(least.where("low < high"), ["h", "band"]).where("label != q.label")
                  .where(_near("n", "q.n", percent)).select("node", F.col("q.node").alias("query")).distinct())
         if known is not None:
             pairs = pairs.join(known, ["node", "query"], "left_anti")
         pairs = cut(pairs)
-        hit = cut(verify(pairs, sets, percent))
+        hit = linked(pairs)
         known = pairs if known is None else known.unionByName(pairs)
         found = hit if found is None else found.unionByName(hit)
     # What is left in a list: nodes of other classes than its largest, against all of them.
     lists = _labelled(posting, found)
     sizes = lists.groupBy("h", "label").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("h").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    mixed = lists.join(largest.select("h", F.col("top.label").alias("top")), "h")
-    some = mixed.where("label != top").select("h", F.col("node").alias("query"), F.col("n").alias("m"), F.col("label").alias("other"))
-    rest = (mixed.join(some, "h").where("label != other and (label = top or node < query)").where(_near("n", "m", percent))
+    mixed_ = lists.join(largest.select("h", F.col("top.label").alias("top")), "h")
+    some = mixed_.where("label != top").select("h", F.col("node").alias("query"), F.col("n").alias("m"), F.col("label").alias("other"))
+    rest = (mixed_.join(some, "h").where("label != other and (label = top or node < query)").where(_near("n", "m", percent))
             .select("node", "query").distinct())
     for turned in (known, known.select(F.col("node").alias("query"), F.col("query").alias("node"))):
         rest = rest.join(turned, ["node", "query"], "left_anti")
-    return found.unionByName(verify(cut(rest), sets, percent))
+    return found.unionByName(linked(rest))
 
 
 def _labelled(posting: DataFrame, edges: DataFrame) -> DataFrame:

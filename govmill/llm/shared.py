@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -23,7 +24,11 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # What was behind the cut is no longer reachable: let Spark remove its shuffle files now, not when memory runs low.
+    gc.collect()
+    context._jvm.System.gc()
+    return done
 
 
 _SHIPPED: set[str] = set()
