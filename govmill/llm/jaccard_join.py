@@ -3,12 +3,13 @@
 Sets of 5-word shingles that are equal count once, as one node. Two sets of n and m shingles link when they share at
 least T = ceil(s (n + m) / (1 + s)) of them.
 
-1. Inverted lists. A node enters the lists of the first n - ceil(s n) + 1 of its shingles, those that are frequent in a sample
-   of documents last. Two linked nodes always meet in such a list, whatever the order; so the sample decides about speed
-   alone, and passages that very many documents share hold lists together only where a document has little else.
+1. Inverted lists. A node enters the lists of the first n - ceil(s n) + k of its shingles, those that are frequent in a sample
+   of documents last, with k = 1 + n / 10. Two linked nodes always meet in as many of these lists as the smaller k, whatever
+   the order; so the sample decides about speed alone. Nodes that share fewer lists than that with all others
+   together drop out, twice: what shares a passage with others and little else does not stay.
 2. Candidates, in rounds. In each list (and band of lengths) all nodes are compared with the smallest one, which gives no
    more pairs than nodes; links make classes. Then the nodes of a list that are still in different classes are
-   compared with each other. Pairs whose bit maps rule out the overlap that a link needs go no further.
+   compared with each other inside the tasks that hold the list. Pairs whose bit maps rule out the overlap that a link needs go no further.
 3. T-occurrence search of each query in blocks of its candidates (DivideSkip): of the candidates' inverted lists the
    shorter ones are merged with a heap, the L longest are only probed by binary search, and those that reach T remain.
 
@@ -36,6 +37,9 @@ from govmill.llm.shared import components, cut, runs, small_enough, width
 SAMPLE_DOCS = 8192  #: about so many documents tell which shingles are frequent
 FREQUENT = 4  #: in so many of them
 ORDER_BOUND = 1_000_000  #: at most so many frequent shingles are put last (8 MB)
+PRUNINGS = 2
+EXTRA = 10  #: a node enters one more list for each so many shingles, and has to share as many more
+LIST_BLOCK = 4096  #: nodes of a list that one task compares with those of other classes
 BLOCK = 256  #: candidates of a query that one search takes at a time
 SEND_BOUND = 1_000_000  #: node ids that may be sent to every task (8 MB)
 
@@ -45,6 +49,11 @@ def required(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def shared_lists(n: np.ndarray) -> np.ndarray:
+    """In how many lists a node of n shingles must meet each node that it links with."""
+    return 1 + n // EXTRA
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
@@ -113,7 +122,7 @@ def nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(frequent, key), max(0, len(frequent) - 1))
                 hot = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
                 order = np.lexsort((key, hot, row))
-                take = n - -(-percent * n // 100) + 1
+                take = n - -(-percent * n // 100) + shared_lists(n)
                 take[n == 0] = 0
                 place = np.arange(len(key)) - bound[:-1][row]
                 prefix = key[order][place < take[row]]
@@ -225,8 +234,11 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
     reps = rows.where("n > 0 and id is not null").groupBy("node").agg(
         *[F.min_by(c, "id").alias(c) for c in ("prefix", "bits")], F.min("n").alias("n"), F.min("id").alias("id"))
     posting = reps.select("node", "id", "n", F.explode("prefix").alias("h"))
-    here = Window.partitionBy("h")
-    posting = cut(posting.withColumn("df", F.count("*").over(here)).where("df > 1").drop("df"))
+    posting = cut(_crowded(posting))
+    for _ in range(PRUNINGS):
+        # Who shares fewer lists with all others together than with its smallest possible partner cannot link; then others fall.
+        enough = posting.groupBy("node").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(f"c >= 1 + floor({percent} * n / {100 * EXTRA})")
+        posting = cut(_crowded(posting.join(enough.select("node"), "node", "left_semi")))
     reps = cut(reps.drop("prefix").join(posting.select("node").distinct(), "node", "left_semi"))
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -250,16 +262,74 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
     # What is left in a list: nodes of other classes than its largest, against all of them.
     lists = _labelled(posting, found)
     sizes = lists.groupBy("h", "label").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("h").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    mixed_ = lists.join(largest.select("h", F.col("top.label").alias("top")), "h")
-    some = mixed_.where("label != top").select("h", F.col("node").alias("query"), F.col("n").alias("m"), F.col("label").alias("other"))
-    rest = (mixed_.join(some, "h").where("label != other and (label = top or node < query)").where(_near("n", "m", percent))
-            .select("node", "query").distinct())
+    largest = (sizes.groupBy("h").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels"), F.sum("c").alias("size"))
+               .where("labels > 1").select("h", F.col("top.label").alias("top"), F.ceil(F.col("size") / LIST_BLOCK).alias("blocks")))
+    rest = cut(_across(lists, largest, reps, percent))
     for turned in (known, known.select(F.col("node").alias("query"), F.col("query").alias("node"))):
         rest = rest.join(turned, ["node", "query"], "left_anti")
     return found.unionByName(linked(rest))
 
 
+def close_pairs(n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], others: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs (i, j) of different labels, i among the first `others` nodes, that sizes and bit maps do not rule out."""
+    size = np.array([len(x) for x in bits])
+    maps = {s: (np.flatnonzero(size == s), np.stack([bits[i] for i in np.flatnonzero(size == s)])) for s in np.unique(size).tolist()}
+    out: list[tuple[int, int]] = []
+    for s, (left, left_map) in maps.items():
+        left_map, left = left_map[left < others], left[left < others]
+        for t in (s // 2, s, 2 * s):
+            if t not in maps or not len(left):
+                continue
+            right, right_map = maps[t]
+            a = left_map if t >= s else left_map[:, :t] ^ left_map[:, t:]
+            b = right_map if t <= s else right_map[:, :s] ^ right_map[:, s:]
+            step = max(1, 2_000_000 // (len(right) * a.shape[1]))
+            for at in range(0, len(left), step):
+                i = left[at: at + step]
+                differ = np.bitwise_count(a[at: at + step, None, :] ^ b[None]).sum(axis=2, dtype=np.int64)
+                both = n[i][:, None] + n[right][None]
+                fits = (both - differ) * (100 + percent) >= 2 * percent * both
+                fits &= 100 * np.minimum(n[i][:, None], n[right][None]) >= percent * np.maximum(n[i][:, None], n[right][None])
+                fits &= label[i][:, None] != label[right][None]
+                x, y = np.nonzero(fits)
+                out += zip(i[x].tolist(), right[y].tolist(), strict=True)
+    return out
+
+
+def _across(lists: DataFrame, largest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(node, query) of different classes that share a list and may link, found inside the tasks that hold blocks of lists.
+
+    Nodes outside the largest class of a list go to each of its blocks; pairs are compared by size and bit map where they
+    meet, and only those that may link leave the task.
+    """
+    members = lists.join(largest, "h").join(reps.select("node", "bits"), "node")
+    columns = ["h", "block", "role", "node", "n", "label", "bits"]
+    block = F.pmod(F.xxhash64("node"), "blocks")
+    inside = members.withColumn("block", block).withColumn("role", F.lit(1)).select(columns)
+    outside = (members.where("label != top").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+               .withColumn("role", F.lit(0)).select(columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["h", "block"]):
+            node, n, label = (group.column(c).to_numpy() for c in ("node", "n", "label"))
+            bits = [np.array(x, np.int64).view(np.uint64) for x in group.column("bits").to_pylist()]
+            others = int((group.column("role").to_numpy() == 0).sum())
+            found = {(min(node[i], node[j]), max(node[i], node[j])) for i, j in close_pairs(n, label, bits, others, percent)}
+            if found:
+                query, other = zip(*sorted(found), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(other, pa.int64()), pa.array(query, pa.int64())], names=["node", "query"])
+
+    dealt = (inside.unionByName(outside).repartition(width(lists.sparkSession), "h", "block")
+             .sortWithinPartitions("h", "block", "role"))
+    return dealt.mapInArrow(run, "node bigint, query bigint").distinct()
+
+
+def _crowded(posting: DataFrame) -> DataFrame:
+    """The rows of lists with at least two nodes."""
+    here = Window.partitionBy("h")
+    return posting.withColumn("df", F.count("*").over(here)).where("df > 1").drop("df")
+
+
 def _labelled(posting: DataFrame, edges: DataFrame) -> DataFrame:
     label = components(edges)
     return cut(posting.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
