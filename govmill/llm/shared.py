@@ -14,16 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. A local session that leaves it unset, as in tests, gets one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows of `df`, stored in the folder that `spark.checkpoint.dir` names: a lost executor takes none of them along."""
+    """The rows of `df`, stored in the shared folder: a lost executor takes none of them along."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     done = df.checkpoint(eager=True)
     # What was behind the cut is no longer reachable: let Spark remove its shuffle files now, not when memory runs low.
     gc.collect()
