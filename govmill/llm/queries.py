@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govmill.llm import byte_bpe, decontaminate, embedding_dedup, jaccard_join, pii, quality_lm, token_counts, toxicity, url_filter
+from govmill.llm import byte_bpe, chat_repair, decontaminate, embedding_dedup, jaccard_join, pii, quality_lm, token_counts, toxicity, url_filter
 from govmill.llm.shared import ship
 
 CONTEXT_TOKENS = 1024  #: a document with more tokens is over the limit
@@ -27,6 +27,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -67,6 +71,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
+    "op3_chat_repair": op3_chat_repair,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,
