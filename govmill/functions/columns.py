@@ -94,8 +94,12 @@ def bucket_region(location: Column) -> Column:
 
 
 def tag_value(tags: Column, names: tuple[str, ...]) -> Column:
-    """First tag that exists among spelling variants, lower case and never blank."""
-    return F.nullif(F.lower(F.coalesce(*(F.try_element_at(tags, F.lit(n)) for n in names))), F.lit(""))
+    """First tag among spelling variants that is not blank, in lower case."""
+    def filled(name: str) -> Column:
+        value = F.try_element_at(tags, F.lit(name))
+        return F.when(F.trim(value) != "", value)
+
+    return F.lower(F.coalesce(*map(filled, names)))
 
 
 def assessment_id(resource_id: Column) -> Column:
@@ -140,40 +144,61 @@ def joined(values: Column) -> Column:
     return F.coalesce(F.array_join(F.array_sort(values), ","), F.lit(""))
 
 
-_TOKEN = r'("(?:[^"\\]|\\.)*"\s*:?|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|\btrue\b)'
+# Possessive, so that a string of any length costs no stack.
+_TOKEN = r'("(?:[^"\\]++|\\.)*+"\s*+:?|-?\d++(?:\.\d++)?(?:[eE][+-]?\d++)?|\btrue\b)'
+_QUOTINGS = 31  # Each quoting of a document doubles its backslashes, so no text of up to 2^31 bytes holds more.
 
 
-def sum_nested_counts(text: Column, nested_strings: int = 2) -> Column:
-    """Sum the whole-number leaves of JSON of any depth.
+def sum_nested_counts(text: Column) -> Column:
+    """Sum the whole-number leaves of JSON of any depth, as a bigint.
 
-    Works on the scalar tokens of the text, so nesting needs no recursion: keys end with a colon and
-    count nothing, ``true`` counts one, fractions are cut, and a quoted number counts as a number. A
-    quoted JSON document inside the JSON is opened up to ``nested_strings`` times. Null, blank and
-    plain words give null; an empty container gives zero.
+    Works on the scalar tokens of a document, so nesting needs no recursion: keys end with a colon and count nothing, ``true``
+    counts one and fractions are cut. A string counts as what its trimmed text is as JSON: a number, a truth value, or a document,
+    which is opened in the next round, until no quoted document is left. Null, blank and plain words give null; an
+    empty container gives zero.
     """
     trimmed = F.trim(text)
-    valid = F.try_parse_json(trimmed).isNotNull() & (trimmed != "") & (trimmed != "null")
-    word = ~trimmed.rlike(r"^[\[{]") & trimmed.startswith('"') & ~trimmed.rlike(r'^"\s*-?\d+\s*"$')
-    total = _token_sum(trimmed, nested_strings)
-    return F.when(valid & ~word, total).cast("int")
-
-
-def _token_sum(text: Column, nested_strings: int) -> Column:
-    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(1))
-
-    def value(token: Column) -> Column:
-        inner = F.substring(token, 2, 2_000_000_000)
-        inner = F.regexp_replace(inner, r'"$', "")
-        steps = [
-            (token.endswith(":"), F.lit(0).cast("bigint")),
-            (token == "true", F.lit(1).cast("bigint")),
-            (~token.startswith('"'), token.try_cast("double").try_cast("bigint")),
-            (inner.rlike(r"^\s*-?\d+\s*$"), F.trim(inner).try_cast("bigint")),
-        ]
-        if nested_strings:
-            opened = F.regexp_replace(inner, r"\\(.)", "$1")
-            steps.append((inner.rlike(r"^\s*[\[{]") & F.try_parse_json(opened).isNotNull(),
-                          _token_sum(opened, nested_strings - 1)))
-        return ladder(*steps, otherwise=F.lit(0).cast("bigint"))
-
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, t: acc + F.coalesce(value(t), F.lit(0)))
+    top = _content(trimmed)
+    docs = F.when(top["doc"].isNotNull(), F.array(top["doc"])).otherwise(F.array().cast("array<string>"))
+
+    def open_next(state: Column, _: Column) -> Column:
+        found = F.flatten(F.transform(state["docs"], lambda d: F.transform(
+            F.regexp_extract_all(d, F.lit(_TOKEN), F.lit(1)), _token)))
+        total = F.aggregate(found, state["total"], lambda acc, v: acc + F.coalesce(v["n"], F.lit(0).cast("bigint")))
+        inner = F.transform(F.filter(found, lambda v: v["doc"].isNotNull()), lambda v: v["doc"])
+        return F.struct(total.alias("total"), inner.alias("docs"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), docs.alias("docs"))
+    summed = F.aggregate(F.sequence(F.lit(1), F.lit(_QUOTINGS)), start, open_next, lambda state: state["total"])
+    return F.when(top["doc"].isNotNull(), summed).otherwise(top["n"])
+
+
+def _counted(n: Column | None = None, doc: Column | None = None) -> Column:
+    null = F.lit(None)
+    return F.struct((null if n is None else n).cast("bigint").alias("n"), (null if doc is None else doc).cast("string").alias("doc"))
+
+
+def _whole(number: Column) -> Column:
+    return F.coalesce(number.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))
+
+
+def _content(s: Column) -> Column:
+    """What the trimmed text of a string counts: a number, or a document to open; both null for words."""
+    parsed = F.try_parse_json(s)
+    inner = F.trim(F.try_variant_get(parsed, "$", "string"))
+    return ladder(
+        (s.rlike(r"^-?[0-9]+$"), _counted(_whole(s))),
+        (parsed.isNull(), _counted()),
+        (s.rlike(r"^[\[{]"), _counted(doc=s)),
+        (s.rlike("^-?[0-9]"), _counted(_whole(s))),
+        (s.isin("true", "false"), _counted((s == "true").cast("bigint"))),
+        (s.startswith('"') & inner.rlike(r"^-?[0-9]+$"), _counted(_whole(inner))),
+        otherwise=_counted())
+
+
+def _token(token: Column) -> Column:
+    return ladder(
+        (token.endswith(":"), _counted()),
+        (token == "true", _counted(F.lit(1))),
+        (token.startswith('"'), _content(F.trim(F.try_variant_get(F.try_parse_json(token), "$", "string")))),
+        otherwise=_counted(_whole(token)))

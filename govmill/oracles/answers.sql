@@ -88,7 +88,7 @@ SELECT ResourceId, DataProductId FROM o_tagged WHERE DataProductId <> ''
 SELECT ResourceId, vm_size AS VmSize, security_type AS SecurityType, arc_model AS ArcModel, linked_vm_id AS LinkedVmId FROM g_resource
 
 -- view: sum_nested_counts
-SELECT k, CAST(expected AS INT) AS total FROM g_counts
+SELECT k, CAST(expected AS BIGINT) AS total FROM g_counts
 
 -- view: derive_assessment_id
 SELECT ResourceId, ResourceId || '/patchAssessmentResults/latest' AS assessment_id FROM g_resource

@@ -170,7 +170,7 @@ SELECT lower(trim(sku)) AS sku_lc, bool_or(is_approved) AS approved FROM g_sku G
 
 -- view: o_patch_report
 SELECT lower(assessment_id) AS aid, MAX(COALESCE(startDateTime, lastModifiedDateTime)) AS at,
-       MAX(CAST(json_extract_string(counts_json, '$.critical') AS INT) + CAST(json_extract_string(counts_json, '$.security') AS INT)) AS pending
+       MAX(CAST(json_extract_string(counts_json, '$.critical') AS BIGINT) + CAST(json_extract_string(counts_json, '$.security') AS BIGINT)) AS pending
 FROM g_patch GROUP BY lower(assessment_id)
 
 -- view: o_chosen

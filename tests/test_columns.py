@@ -1,5 +1,7 @@
 """Parsers and normalisers on literal cases."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,11 +45,26 @@ def test_buckets(spark):
     ('{"a":1,"b":{"c":2,"d":[3,4,{"e":5}]}}', 15), ('[1,"3","x",true,null]', 5),
     ('{"x 5,":"p,7,q","y":2}', 2), ('{"a":"{\\"x\\":4,\\"y\\":\\"[1,2]\\"}","b":5}', 12),
     ('{"1":2,"3":"4"}', 6), ('{"a":1.5,"b":1.5}', 2), ('{"a":"say \\"9\\" now"}', 0),
+    ('{"a":"2.9"}', 2), ('{"a":"true","b":"false"}', 1), ('{"a":" [1,\\n 2] "}', 3), ('{"a":2000000000,"b":2000000000}', 4_000_000_000),
+    ('{"a":"007","b":"1e2"}', 107), ("007", 7), ('{"a":"' + "x" * 100_000 + '","b":3}', 3), ('"' + "y" * 5000 + '"', None),
+    ('{"a":"' + '\\\\' * 4000 + '","b":1}', 1),
 ])
 def test_nested_counts(spark, text, total):
     assert values(spark, C.sum_nested_counts, [text]) == [total]
 
 
+def test_nested_counts_opens_every_quoted_level(spark):
+    text = '{"n": 1}'
+    for level in range(2, 6):
+        text = json.dumps({"n": level, "inner": text})
+    assert values(spark, C.sum_nested_counts, [text]) == [15]
+
+
+def test_blank_tag_variants_do_not_hide_filled_ones(spark):
+    df = spark.createDataFrame([({"a": " ", "b": "X1"},), ({"a": "", "b": ""},), ({"b": "y"},), (None,)], "tags map<string,string>")
+    assert [r[0] for r in df.select(C.tag_value(F.col("tags"), ("a", "b"))).collect()] == ["x1", None, "y", None]
+
+
 def test_plans_and_kinds(spark):
     types = ["Microsoft.Compute/virtualMachines", "microsoft.sql/servers/databases", "Microsoft.Fabric/x", "other", None]
     assert values(spark, C.defender_candidate_plans, types) == [
