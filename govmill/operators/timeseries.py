@@ -8,7 +8,7 @@ spread over many tasks, and results are exactly those of one long window.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -16,43 +16,65 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SLICES = 32
 ROLLING_BLOCK = 4096
 MAD_TO_SIGMA = 1.4826
-NEVER = 253_402_300_799_000_000  # The last second of the year 9999, in microseconds.
+BEFORE_ALL = -(2**63)
 
 
-def time_slicer(df: DataFrame, time: str, slices: int = SLICES) -> Callable[[str], Column]:
-    """Slice number of a time. The cut points are fewer than ``slices`` numbers, whatever the input size."""
-    shares = [i / slices for i in range(1, slices)]
-    micros = df.select(F.unix_micros(F.col(time).cast("timestamp")).cast("double").alias("t"))
-    cuts = micros.approxQuantile("t", shares, 0.005) if shares else []
+def time_sliced(df: DataFrame, column: str, source: DataFrame, time: str, slices: int | None = None) -> DataFrame:
+    """Add ``_slice``: the slice of a time, with cut points at equal shares of the rows of ``source``.
+
+    The cut points are a scalar subquery, so no job runs while a plan is built. There are as many
+    slices as shuffle partitions, ``SLICES`` at least. Null times have a slice of their own, null.
+    """
+    n = slices or max(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = [i / n for i in range(1, n)]
+    if not shares:
+        return df.withColumn("_slice", F.lit(0))
+    cuts = source.agg(F.percentile_approx(_micros(time), shares, 1000).alias("c")).scalar()
     # A sum of comparisons: lambda expressions in join keys can mislead the optimizer's filter inference.
-    # A single time that is never reached stands in where there is no cut point.
-    bounds = [F.timestamp_micros(F.lit(int(c))) for c in sorted(set(cuts)) or [NEVER]]
-    return lambda column: reduce(Column.__add__, (
-        (F.col(column).cast("timestamp") >= b).cast("int") for b in bounds))
+    at = _micros(column)
+    number = reduce(Column.__add__, (
+        F.coalesce((at >= F.try_element_at("_cuts", F.lit(i + 1))).cast("int"), F.lit(0)) for i in range(len(shares))))
+    return df.withColumn("_cuts", cuts).withColumn("_slice", F.when(at.isNotNull(), number)).drop("_cuts")
+
+
+def _micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def _order(column: str) -> Column:
+    """Time as a number, nulls first, for aggregates that skip null orderings."""
+    return F.coalesce(_micros(column), F.lit(BEFORE_ALL))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys, of which nulls equal nulls; the keys of ``right`` go."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys))
+    return left.join(named, on, how).drop(*(f"_right_{k}" for k in keys))
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str],
-                 prefix: str = "Prev", slices: int = SLICES) -> DataFrame:
+                 prefix: str = "Prev", slices: int | None = None) -> DataFrame:
     """Add ``prefix + value``: the values of the row before, per key, in time order.
 
     ``time`` is unique per key. With no keys the whole frame is one series.
     """
     part = [*keys, "_slice"]
     held = F.struct(*values)
-    sliced = df.withColumn("_slice", time_slicer(df, time, slices)(time))
+    sliced = time_sliced(df, time, df, time, slices)
     in_slice = Window.partitionBy(*part).orderBy(time)
     local = (sliced.withColumn("_local", F.lag(held).over(in_slice))
              .withColumn("_first", F.row_number().over(in_slice) == 1))
-    edges = sliced.groupBy(*part).agg(F.max_by(held, F.col(time)).alias("_edge"))
+    edges = sliced.groupBy(*part).agg(F.max_by(held, _order(time)).alias("_edge"))
     across = Window.partitionBy(*keys).orderBy("_slice")
     carried = edges.select(*part, F.lag("_edge").over(across).alias("_carried"))
     before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local"))
-    return (local.join(carried, part, "left").withColumn("_before", before)
+    return (_same(local, carried, part, "left").withColumn("_before", before)
             .select(*df.columns, *(F.col("_before")[v].alias(prefix + v) for v in values)))
 
 
 def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame, str, Sequence[str]]],
-              seconds: int, slices: int = SLICES) -> DataFrame:
+              seconds: int, slices: int | None = None) -> DataFrame:
     """Every left row with the values of the newest row of each right frame at or before it.
 
     A right frame comes with its time column and the values wanted from it; its times are unique.
@@ -66,7 +88,7 @@ def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame,
         parts.append(right.select(F.col(time).alias("_t"), F.lit(0).alias("_side"),
                                   F.struct(F.col(time).alias("_at"), *values).alias(name)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    sliced = stacked.withColumn("_slice", time_slicer(left, left_time, slices)("_t"))
+    sliced = time_sliced(stacked, "_t", stacked, "_t", slices)
     in_slice = Window.partitionBy("_slice").orderBy("_t", "_side")
     across = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     edges = sliced.groupBy("_slice").agg(*(F.max_by(h, F.when(F.col(h).isNotNull(), F.col("_t"))).alias(h) for h in held))
@@ -83,7 +105,7 @@ def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame,
 
 
 def asof_bounded(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
-                 values: Sequence[str], seconds: int, slices: int = SLICES) -> DataFrame:
+                 values: Sequence[str], seconds: int, slices: int | None = None) -> DataFrame:
     """As-of join with one right frame; see :func:`asof_many`."""
     return asof_many(left, left_time, [(right, right_time, values)], seconds, slices)
 
@@ -110,15 +132,15 @@ def asof_rank(left: DataFrame, right: DataFrame, left_time: str, right_time: str
 
 
 def series_position(df: DataFrame, keys: Sequence[str], time: str, name: str = "position",
-                    slices: int = SLICES) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """Number the rows of each series from zero in time order."""
     part = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", time_slicer(df, time, slices)(time))
+    sliced = time_sliced(df, time, df, time, slices)
     across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (sliced.groupBy(*part).agg(F.count("*").alias("_n"))
                .select(*part, F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_offset")))
     in_slice = Window.partitionBy(*part).orderBy(time)
-    return (sliced.withColumn("_row", F.row_number().over(in_slice)).join(offsets, part)
+    return (sliced.withColumn("_row", F.row_number().over(in_slice)).transform(lambda d: _same(d, offsets, part, "inner"))
             .select(*df.columns, (F.col("_row") - 1 + F.col("_offset")).alias(name)))
 
 

@@ -120,3 +120,15 @@ def test_fan_out_can_push_coverage_past_one(spark):
     asset = spark.createDataFrame([(t, "P", 4)], "SnapshotTS timestamp, DataProductName string, TotalAssets int")
     row = drift.kpi_timeline(catalog, asset, residency).collect()[0]
     assert (row.TotalDataProducts, row.ProductsWithResidency, row.ResidencyCoveragePct) == (2, 3, 1.5)
+
+
+def test_null_keys_and_times_are_kept(spark):
+    data = [(None if i % 3 == 0 else "k", None if i == 50 else START + dt.timedelta(seconds=i), i) for i in range(100)]
+    df = spark.createDataFrame(data, "key string, ts timestamp, v int")
+    w = Window.partitionBy("key").orderBy("ts")
+    assert rows(timeseries.previous_row(df, ["key"], "ts", ["v"], slices=8)) == rows(df.withColumn("Prevv", F.lag("v").over(w)))
+    want = df.withColumn("position", (F.row_number().over(w) - 1).cast("bigint"))
+    assert rows(timeseries.series_position(df, ["key"], "ts", slices=8)) == rows(want)
+    assert timeseries.anomaly_points(df, "ts", "v", 0.5).count() == 100
+    left = df.select(F.col("ts").alias("t")).withColumn("x", F.lit(1))
+    assert timeseries.asof_bounded(left, df.select("ts", "v"), "t", "ts", ["v"], 5).count() == 100
