@@ -7,7 +7,7 @@ least T = ceil(s (n + m) / (1 + s)) of them.
    of documents last, with k = 1 + n / 10. Two linked nodes always meet in as many of these lists as the smaller k, whatever
    the order; so the sample decides about speed alone. Nodes that share fewer lists than that with all others
    together drop out, twice: what shares a passage with others and little else does not stay.
-2. Candidates, in rounds. In each list (and band of lengths) all nodes are compared with the smallest one, which gives no
+2. Candidates, in two rounds. In each list (and band of lengths) all nodes are compared with the smallest one, which gives no
    more pairs than nodes; links make classes. Then the nodes of a list that are still in different classes are
    compared with each other inside the tasks that hold the list. Pairs whose bit maps rule out the overlap that a link needs go no further.
 3. T-occurrence search of each query in blocks of its candidates (DivideSkip): of the candidates' inverted lists the
@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 from govmill.llm import words
 from govmill.llm.ragged import mixed
-from govmill.llm.shared import components, cut, runs, small_enough, width
+from govmill.llm.shared import components, cut, runs, small_enough, whole_runs, width
 
 SAMPLE_DOCS = 8192  #: about so many documents tell which shingles are frequent
 FREQUENT = 4  #: in so many of them
 ORDER_BOUND = 1_000_000  #: at most so many frequent shingles are put last (8 MB)
 PRUNINGS = 2
 EXTRA = 10  #: a node enters one more list for each so many shingles, and has to share as many more
+FIRST_LISTS = 16  #: the smallest of its lists that a node carries, so that a pair found in many lists leaves from one
+SMALL = 24  #: nodes of a list that are compared one by one
 LIST_BLOCK = 4096  #: nodes of a list that one task compares with those of other classes
 BLOCK = 256  #: candidates of a query that one search takes at a time
 SEND_BOUND = 1_000_000  #: node ids that may be sent to every task (8 MB)
@@ -246,19 +248,12 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
         nodes_ = pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))).distinct()
         return cut(verify(pairs, sets_of(docs, reps.select("id", "node").join(nodes_, "node", "left_semi"), size), percent))
 
-    known, found = None, None
-    for shift in (0.0, 0.5):
-        band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + F.lit(shift))
-        lists = (posting.withColumn("label", F.col("node")) if found is None else _labelled(posting, found)).withColumn("band", band)
-        least = lists.groupBy("h", "band").agg(F.min(F.struct("node", "n", "label")).alias("q"), F.min("label").alias("low"), F.max("label").alias("high"))
-        pairs = (lists.join(least.where("low < high"), ["h", "band"]).where("label != q.label")
-                 .where(_near("n", "q.n", percent)).select("node", F.col("q.node").alias("query")).distinct())
-        if known is not None:
-            pairs = pairs.join(known, ["node", "query"], "left_anti")
-        pairs = cut(pairs)
-        hit = linked(pairs)
-        known = pairs if known is None else known.unionByName(pairs)
-        found = hit if found is None else found.unionByName(hit)
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
+    lists = posting.withColumn("band", band)
+    least = lists.groupBy("h", "band").agg(F.min(F.struct("node", "n")).alias("q"))
+    known = cut(lists.join(least, ["h", "band"]).where("node != q.node").where(_near("n", "q.n", percent))
+                .select("node", F.col("q.node").alias("query")).distinct())
+    found = linked(known)
     # What is left in a list: nodes of other classes than its largest, against all of them.
     lists = _labelled(posting, found)
     sizes = lists.groupBy("h", "label").agg(F.count("*").alias("c"))
@@ -296,25 +291,58 @@ def close_pairs(n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], others
     return out
 
 
+def few_pairs(n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], others: int, percent: int) -> list[tuple[int, int]]:
+    """What `close_pairs` gives, for short lists."""
+    n, label, out = n.tolist(), label.tolist(), []
+    maps = [int.from_bytes(x.tobytes(), "little") for x in bits]
+    for i in range(others):
+        for j in range(len(n)):
+            both = n[i] + n[j]
+            if label[i] == label[j] or 100 * min(n[i], n[j]) < percent * max(n[i], n[j]):
+                continue
+            x, y, size = maps[i], maps[j], 64 * min(len(bits[i]), len(bits[j]))
+            if len(bits[i]) * 64 > size:
+                x = (x >> size) ^ (x & ((1 << size) - 1))
+            if len(bits[j]) * 64 > size:
+                y = (y >> size) ^ (y & ((1 << size) - 1))
+            if (both - (x ^ y).bit_count()) * (100 + percent) >= 2 * percent * both:
+                out.append((i, j))
+    return out
+
+
 def _across(lists: DataFrame, largest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(node, query) of different classes that share a list and may link, found inside the tasks that hold blocks of lists.
 
     Nodes outside the largest class of a list go to each of its blocks; pairs are compared by size and bit map where they
     meet, and only those that may link leave the task.
     """
-    members = lists.join(largest, "h").join(reps.select("node", "bits"), "node")
-    columns = ["h", "block", "role", "node", "n", "label", "bits"]
+    least = lists.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("h")), 1, FIRST_LISTS).alias("lists"))
+    members = lists.join(largest, "h").join(reps.select("node", "bits").join(least, "node"), "node")
+    columns = ["h", "block", "role", "node", "n", "label", "bits", "lists"]
     block = F.pmod(F.xxhash64("node"), "blocks")
     inside = members.withColumn("block", block).withColumn("role", F.lit(1)).select(columns)
     outside = (members.where("label != top").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
                .withColumn("role", F.lit(0)).select(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["h", "block"]):
-            node, n, label = (group.column(c).to_numpy() for c in ("node", "n", "label"))
-            bits = [np.array(x, np.int64).view(np.uint64) for x in group.column("bits").to_pylist()]
-            others = int((group.column("role").to_numpy() == 0).sum())
-            found = {(min(node[i], node[j]), max(node[i], node[j])) for i, j in close_pairs(n, label, bits, others, percent)}
+        for part, bound in whole_runs(batches, ["h", "block"]):
+            h, node, n, label, role = (part.column(c).to_numpy() for c in ("h", "node", "n", "label", "role"))
+            bits, lists_ = (part.column(c) for c in ("bits", "lists"))
+            maps, at = bits.values.to_numpy().view(np.uint64), bits.offsets.to_numpy().tolist()
+            first, to = lists_.values.to_numpy(), lists_.offsets.to_numpy().tolist()
+            found = set()
+            for a, b in zip(bound[:-1], bound[1:], strict=True):
+                others = int(np.searchsorted(role[a:b], 1)) if b - a > SMALL else sum(r == 0 for r in role[a:b].tolist())
+                if not others:
+                    continue
+                some = [maps[at[i]: at[i + 1]] for i in range(a, b)]
+                pairs = (few_pairs if b - a <= SMALL else close_pairs)(n[a:b], label[a:b], some, others, percent)
+                for i, j in pairs:
+                    # A pair leaves from the first list that both are in, if that is known: the smallest common one of their first lists.
+                    x, y = a + i, a + j
+                    common = set(first[to[x]: to[x + 1]].tolist()) & set(first[to[y]: to[y + 1]].tolist())
+                    if min(common, default=h[a]) == h[a]:
+                        found.add((min(node[x], node[y]), max(node[x], node[y])))
             if found:
                 query, other = zip(*sorted(found), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(other, pa.int64()), pa.array(query, pa.int64())], names=["node", "query"])

@@ -113,3 +113,30 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         last = tuple(c[-1] for c in columns)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """The same runs many at a time: batches that end where a run ends, and the bounds of the runs in each."""
+    held: pa.Table | None = None
+    for batch in _and_end(batches):
+        if batch is not None and batch.num_rows:
+            held = pa.concat_tables([held, pa.Table.from_batches([batch])]) if held is not None else pa.Table.from_batches([batch])
+        if held is None:
+            continue
+        part = held.combine_chunks().to_batches()[0]
+        new = np.zeros(part.num_rows, bool)
+        for k in keys:
+            c = part.column(k).to_numpy(zero_copy_only=False)
+            new[1:] |= c[1:] != c[:-1]
+        bound = [0, *np.flatnonzero(new).tolist()]
+        if batch is None:
+            yield part, [*bound, part.num_rows]
+        elif len(bound) > 1:
+            done = bound[-1]
+            yield pa.Table.from_batches([part.slice(0, done)]).combine_chunks().to_batches()[0], bound
+            held = pa.Table.from_batches([part.slice(done)])
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
