@@ -94,9 +94,6 @@ def leak_verdict(findings: DataFrame) -> DataFrame:
     return findings.agg(F.count("*").alias("total_findings"), (F.count("*") == 0).alias("passed"))
 
 
-LINEAGE_DEPTH = 10
-
-
 def _children(nodes: Column) -> Column:
     """JSON objects directly inside objects, or inside an array of an object."""
     def below(node: Column) -> Column:
@@ -108,10 +105,10 @@ def _children(nodes: Column) -> Column:
 
 
 def references(definition: Column) -> Column:
-    """Entity and property names a JSON definition refers to, from objects at most ten levels down.
+    """Entity and property names a JSON definition refers to, from objects at any depth.
 
     The levels are walked inside one expression: each step gathers the names in the objects of a
-    level and moves on to the objects below them.
+    level and moves on to the objects below them. A text has no more levels than opening braces.
     """
     root = F.try_parse_json(definition)
     start = F.struct(
@@ -127,7 +124,8 @@ def references(definition: Column) -> Column:
             F.array_union(acc["entities"], names(acc["nodes"], "$.SourceRef.Entity")).alias("entities"),
             F.array_union(acc["properties"], names(acc["nodes"], "$.Property")).alias("properties"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(LINEAGE_DEPTH)), start, step)
+    levels = F.length(F.regexp_replace(F.coalesce(definition, F.lit("")), r"[^{]+", ""))
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step)
 
 
 def visual_references(visuals: DataFrame) -> DataFrame:

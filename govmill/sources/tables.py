@@ -6,6 +6,7 @@ Delta is installed, set it to ``delta``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -52,9 +53,19 @@ def create_then_overwrite(df: DataFrame, table: str, schema: T.StructType) -> No
 
 
 def ctas_replace(df: DataFrame, table: str) -> None:
-    """Drop a table and create it from a query, with whatever columns the query has."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.format(TABLE_FORMAT).saveAsTable(table)
+    """Replace a table by a query's rows and columns.
+
+    The rows are written under a new name first, so a query that fails leaves the old table whole, and a
+    query may read the table that it replaces.
+    """
+    spark, new = df.sparkSession, f"{table}_{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.format(TABLE_FORMAT).saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
 
 
 def stamped(df: DataFrame, run_ts: str, time: str) -> DataFrame:

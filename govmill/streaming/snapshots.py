@@ -24,10 +24,9 @@ def snapshot_source(spark: SparkSession, folder: str, schema: T.StructType, file
     return reader.parquet(folder)
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows written so far. The folder is made with its schema on first use, so it can always be read."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+def _stored(spark: SparkSession, path: str, schema: T.StructType, begins: bool) -> DataFrame:
+    """Rows written so far. Only the batch that ``begins`` may find no folder: lost state is an error, not an empty one."""
+    if begins:
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
@@ -37,9 +36,9 @@ def snapshot_ingest_stream(source: DataFrame, history_path: str, checkpoint: str
 
     The stream form of an insert-only merge; of several rows with one key the first in column order.
     """
-    def add(batch: DataFrame, _: int) -> None:
+    def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _stored(spark, history_path, batch.schema).select(*key).distinct()
+        known = _stored(spark, history_path, batch.schema, batch_id == 0).select(*key).distinct()
         fresh = first_per_key(batch.join(known, list(key), "left_anti").select(*batch.columns), list(key), batch.columns)
         fresh.write.mode("append").parquet(history_path)
 
@@ -76,7 +75,7 @@ def drift_alert_stream(source: DataFrame, state_path: str, alert_path: str, chec
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select("key", "ts", "total", "region")
-        last = _stored(spark, f"{state_path}/batch={batch_id - 1}", rows.schema)
+        last = _stored(spark, f"{state_path}/batch={batch_id - 1}", rows.schema, batch_id == 0)
         seen = last.select("key", F.col("ts").alias("_seen"))
         fresh = first_per_key(
             rows.join(seen, "key", "left").filter(F.col("_seen").isNull() | (F.col("ts") > F.col("_seen"))).drop("_seen"),

@@ -79,3 +79,19 @@ def test_ingest_stream_ignores_repeats(spark):
         source = snapshots.snapshot_source(spark, f"{folder}/in", schema, files_per_batch=1)
         snapshots.snapshot_ingest_stream(source, f"{folder}/out", f"{folder}/progress", ["SnapshotUtc"]).awaitTermination()
     assert sorted(r.n for r in spark.read.parquet(f"{folder}/out").collect()) == [1, 2]
+
+
+def test_replacing_a_table_is_safe(spark):
+    spark.sql("DROP TABLE IF EXISTS replaced")
+    tables.ctas_replace(spark.range(3).toDF("a"), "replaced")
+    tables.ctas_replace(spark.table("replaced").selectExpr("a + 10 AS b"), "replaced")
+    assert sorted(r.b for r in spark.table("replaced").collect()) == [10, 11, 12]
+    with pytest.raises(Exception, match="oops"):
+        tables.ctas_replace(spark.range(3).selectExpr("raise_error('oops') AS x"), "replaced")
+    assert spark.table("replaced").columns == ["b"] and spark.table("replaced").count() == 3
+
+
+def test_lost_state_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        snapshots._stored(spark, f"{tmp_path}/nothing", T.StructType.fromDDL("a int"), begins=False).collect()
+    assert snapshots._stored(spark, f"{tmp_path}/new", T.StructType.fromDDL("a int"), begins=True).count() == 0

@@ -40,9 +40,9 @@ def nested(levels: int, entity: str) -> dict:
     return node
 
 
-def test_references_stop_at_ten_levels(spark):
-    doc = {"a": nested(9, "deep-10"), "b": nested(10, "deep-11"), "list": [{"x": nested(0, 'quoted "name"')}, [nested(0, "list in list")], 5],
+def test_references_are_found_at_any_depth(spark):
+    doc = {"a": nested(9, "deep-10"), "b": nested(40, "deep-41"), "list": [{"x": nested(0, 'quoted "name"')}, [nested(0, "list in list")], 5],
            "text": '{"SourceRef":{"Entity":"only text"}}'}
-    df = spark.createDataFrame([("v", "p", json.dumps(doc)), ("bad", "p", "{"), ("array", "p", json.dumps([nested(0, "x")]))], "visual_id string, page_id string, definition string")
+    df = spark.createDataFrame([("v", "p", json.dumps(doc)), ("bad", "p", "{"), ("none", "p", None), ("array", "p", json.dumps([nested(0, "x")]))], "visual_id string, page_id string, definition string")
     got = {r.visual_id: (r.entities, r.properties) for r in visual_references(df).collect()}
-    assert got == {"v": (["deep-10", 'quoted "name"'], ["p-deep-10", 'p-quoted "name"']), "bad": ([], []), "array": ([], [])}
+    assert got == {"v": (["deep-10", "deep-41", 'quoted "name"'], ["p-deep-10", "p-deep-41", 'p-quoted "name"']), "bad": ([], []), "array": ([], []), "none": ([], [])}
