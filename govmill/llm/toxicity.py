@@ -6,11 +6,10 @@ discounts what the class has seen of a piece and spreads what that frees, with P
 both classes, which in turn backs off to the pieces of four bytes. A piece that neither class has seen says nothing.
 
 The log-likelihood ratio of a word is the sum over its pieces, divided by a power of their number. A document is as
-toxic as its most toxic word; the ratio becomes a probability by a logistic curve, fitted on labelled documents that
-were not counted, both classes weighing the same.
+toxic as its most toxic word; the ratio becomes a probability by a logistic curve, fitted on labelled documents by
+counts that leave them out (one half rated by the other), both classes weighing the same.
 
-Fitting takes a bounded sample of labelled rows (about SAMPLE, by a hash of the id; two thirds for counts, the rest for
-the curve); scoring reads every whole text in place. The table of pieces is sent to the tasks if it has at most
+Fitting takes a bounded sample of labelled rows (about SAMPLE, by a hash of the id); scoring reads every whole text in place. The table of pieces is sent to the tasks if it has at most
 TABLE_ROWS rows (checked); beyond that, the words of documents are joined with it.
 
 Defined results: a null or empty text, or one without a word, has the score of a ratio of 0. Repeated rows are each scored. A row
@@ -219,12 +218,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = (labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("bigint").alias("toxic")).where("id is not null and toxic in (0, 1)")
              .where(fold("id") != 1).groupBy("id").agg(F.max("toxic").alias("toxic")))
     share = min(1.0, sample / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1e6)).withColumn("counted", F.pmod(F.hash("id"), F.lit(3)) > 0)
+    known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1e6)).withColumn("half", F.pmod(F.hash("id"), F.lit(2)))
     if small_enough(known, SEND_BOUND):
         known = F.broadcast(known)
     learned = rows.join(known, "id")
-    ratios = cut(piece_ratios(word_counts(learned.where("counted"))))
-    slope, height = curve(peaks(learned.where("not counted").select("toxic", "text"), ratios))
+    # The curve is fitted on what was not counted: each half is rated by counts of the other, then both halves are counted.
+    halves = [cut(piece_ratios(word_counts(learned.where(F.col("half") == h)))) for h in (0, 1)]
+    rated = [peaks(learned.where(F.col("half") != h).select("toxic", "text"), halves[h]) for h in (0, 1)]
+    slope, height = curve(rated[0].unionByName(rated[1]))
+    ratios = cut(piece_ratios(word_counts(learned)))
     score = 1 / (1 + F.exp(-(slope * F.col("peak") + height))) if height > -math.inf else F.lit(0.0)
     out = peaks(rows, ratios).select(F.col("id").alias(id_col), F.coalesce(fold("id") == 1, F.lit(False)).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
