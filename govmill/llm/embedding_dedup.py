@@ -72,8 +72,9 @@ def decode(x: np.ndarray) -> np.ndarray:
     return np.where(nearer[:, None], whole, half)
 
 
-def cell_keys(points: np.ndarray, table: int, label: np.ndarray) -> np.ndarray:
-    key = mixed(label.astype(np.int64).view(np.uint64) * np.uint64(64) + np.uint64(table))
+def cell_keys(points: np.ndarray, table: int, label: np.ndarray, dim: int) -> np.ndarray:
+    """Vectors of another label or length never share a cell."""
+    key = mixed(mixed(label.astype(np.int64).view(np.uint64) * np.uint64(64) + np.uint64(table)) ^ np.uint64(dim))
     for j in range(8):
         key = mixed(key ^ (np.rint(2 * points[..., j]).astype(np.int64).view(np.uint64) + np.uint64(0x9E37 * (j + 1))))
     return key
@@ -88,10 +89,10 @@ def cells(unit: np.ndarray, label: np.ndarray, tables: int = TABLES, probes: int
         way = np.random.default_rng(SEED + 1000 * unit.shape[1] + t).standard_normal((unit.shape[1], 8))
         y = unit @ way * scale
         point = decode(y)
-        home[:, t] = cell_keys(point, t, label)
+        home[:, t] = cell_keys(point, t, label, unit.shape[1])
         # The nearest of the points around home: smallest |n|^2 - 2 n (y - home), and all n are equally long.
         best = np.argpartition(-((y - point) @ short.T), probes, axis=1)[:, :probes]
-        near[:, t] = cell_keys(point[:, None, :] + short[best], t, label[:, None])
+        near[:, t] = cell_keys(point[:, None, :] + short[best], t, label[:, None], unit.shape[1])
     return home, near
 
 
