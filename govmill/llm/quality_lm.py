@@ -35,6 +35,7 @@ from govmill.llm.shared import cut, small_enough
 ORDER = 5
 PAD = "\x02"  #: stands before the first character of a text
 MODEL_ROWS = 2_000_000
+SLICE = 1 << 19  #: bytes of text whose pieces are hashed at a time (about 60 MB of arrays)
 PRIOR = 40
 FENCE = 6.0
 FOLDS = 5
@@ -91,7 +92,7 @@ def gram_counts(trusted: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["gram", "c"])
 
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE):
                 grams = Grams(part.column("text").to_pylist())
                 _, first, code = ragged.distinct(grams.hashes[ORDER][grams.place])
                 for gram, n in zip(grams.strings(grams.place[first]), np.bincount(code, minlength=len(first)).tolist(), strict=True):
@@ -217,7 +218,7 @@ def costs(docs: DataFrame, m: DataFrame, rows: int = MODEL_ROWS) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in words.slices(batch, "text"):
+                for part in words.slices(batch, "text", SLICE):
                     cost, n = sent.value.text_costs(part.column("text").to_pylist())
                     yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(cost), pa.array(n)],
                                                      names=[*names, "cost", "n"])
@@ -232,7 +233,7 @@ def _sharded_costs(docs: DataFrame, m: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE):
                 grams = Grams(part.column("text").to_pylist())
                 owner = np.repeat(np.arange(part.num_rows), np.diff(grams.bound)).astype(np.uint64)
                 _, first, code = ragged.distinct(grams.hashes[ORDER][grams.place] ^ ragged.mixed(owner))
@@ -274,6 +275,11 @@ class Judge:
         self.all = rated.agg(*facts).first()
         self.languages = {r["lang"]: r for r in rated.groupBy("lang").agg(*facts).where(f"docs >= {ENOUGH}").collect()}
 
+    @staticmethod
+    def numbers(row) -> tuple[float, float]:
+        """Mean cost per character and limit of a language."""
+        return float(row["mean"]), float(row["q"][1] + FENCE * (row["q"][1] - row["q"][0]))
+
     def _per_language(self, value) -> Column:
         out = F.lit(value(self.all))
         for lang, row in self.languages.items():
@@ -285,8 +291,8 @@ class Judge:
         if not self.all["docs"]:
             none = F.lit(None).cast("double")
             return docs.drop("text").select("*", none.alias("perplexity"), none.alias("score"), none.alias("limit"), F.lit(True).alias("keep"))
-        mean = self._per_language(lambda r: float(r["mean"]))
-        limit = self._per_language(lambda r: float(r["q"][1] + FENCE * (r["q"][1] - r["q"][0])))
+        mean = self._per_language(lambda r: self.numbers(r)[0])
+        limit = self._per_language(lambda r: self.numbers(r)[1])
         out = costs(docs, self.model, self.rows).withColumn("score", (F.col("cost") + PRIOR * mean) / (F.col("n") + PRIOR))
         out = out.withColumn("limit", limit).withColumn("keep", F.col("score") <= F.col("limit"))
         return out.withColumn("perplexity", F.exp(F.col("cost") / F.greatest("n", F.lit(1)))).drop("cost", "n")
@@ -309,5 +315,22 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows = docs.select(F.struct("*").alias("row"), language(lang_col).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    return Judge(trusted_texts(docs, labels, id_col, text_col, lang_col)).rate(rows).where("keep").select("row.*")
+    judge = Judge(trusted_texts(docs, labels, id_col, text_col, lang_col))
+    if not judge.all["docs"]:
+        return docs
+    if not small_enough(judge.model, judge.rows):
+        rows = docs.select(F.struct("*").alias("row"), language(lang_col).alias("lang"), F.col(f"`{text_col}`").alias("text"))
+        return judge.rate(rows).where("keep").select("row.*")
+    # Rows are let through as they are: no second copy of the text goes to Python.
+    sent = docs.sparkSession.sparkContext.broadcast((table_of(judge.model), judge.numbers(judge.all), {k: judge.numbers(r) for k, r in judge.languages.items()}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, rest, known = sent.value
+        for batch in batches:
+            for part in words.slices(batch, text_col, SLICE):
+                cost, n = table.text_costs(part.column(text_col).to_pylist())
+                langs = ["" if x is None else str(x) for x in part.column(lang_col).to_pylist()]
+                mean, limit = np.array([known.get(x, rest) for x in langs], float).reshape(-1, 2).T
+                yield part.filter(pa.array((cost + PRIOR * mean) / (n + PRIOR) <= limit))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import pandas as pd
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Code points with the Unicode property White_Space (fixed values of the standard).
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-CHUNK = 1 << 21  #: code points or bytes that are worked on at a time; a longer text makes a longer chunk of its own
+CHUNK = 1 << 20  #: code points or bytes that are worked on at a time; a longer text makes a longer chunk of its own
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -190,7 +190,7 @@ def distinct(keys: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
 class Memo:
     """Key to value, in two generations of bounded size: what is not asked for any more goes."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         self.limit, self.young, self.old = limit, {}, {}
 
     def find(self, keys: list[int]) -> list:

@@ -63,6 +63,8 @@ def test_quality_keeps_clean_and_rejects_junk(llm, sf_dir):
     folder = sf_dir.replace("sf0.001", "sf0.01")
     docs, labels = (queries.table(llm, folder, x) for x in ("documents", "labels"))
     out = quality_lm.judged(docs, labels).join(labels, "doc_id").collect()
+    stays = quality_lm.kept(docs, labels)
+    assert sorted(r.doc_id for r in stays.collect()) == sorted(r.doc_id for r in quality_lm.judged(docs, labels).where("keep").collect())
     good = [r.keep for r in out if r.quality == 1]
     bad = [r.keep for r in out if r.quality == 0]
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.3 * len(bad)
