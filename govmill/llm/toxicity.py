@@ -1,13 +1,14 @@
 """Toxicity by two class-conditional Kneser-Ney models of word pieces with shared backoff counts.
 
 Counts are those of Kneser-Ney: a word counts once for each different word that it follows in a class, so copies and
-repetitions of a text add nothing. The counts of words go to their pieces of five bytes. The model of a class
+repetitions of a text add nothing. The counts of words go to their pieces of ORDER characters. The model of a class
 discounts what the class has seen of a piece and spreads what that frees, with PSEUDO counts more, by the shared model of
-both classes, which in turn backs off to the pieces of four bytes. A piece that neither class has seen says nothing.
+both classes, which in turn backs off to the pieces of one character less. A piece that neither class has seen says nothing.
 
-The log-likelihood ratio of a word is the sum over its pieces, divided by a power of their number. A document is as
-toxic as its most toxic word; the ratio becomes a probability by a logistic curve, fitted on labelled documents by
-counts that leave them out (one half rated by the other), both classes weighing the same.
+The log-likelihood ratio of a word is the sum over its pieces. The ratio of a document is the mean over its most toxic words:
+SHARE of all its words, repetitions counted, at least FEWEST. So it does not grow with the length of a text, a text with one odd word
+is not toxic yet, and ordinary words do not drown toxic ones. It becomes a probability by a logistic curve, fitted on labelled
+documents by counts that leave them out (one half rated by the other), both classes weighing the same.
 
 Fitting takes a bounded sample of labelled rows (about SAMPLE, by a hash of the id); scoring reads every whole text in place. The table of pieces is sent to the tasks if it has at most
 TABLE_ROWS rows (checked); beyond that, the words of documents are joined with it.
@@ -24,17 +25,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from govmill.llm import ragged, words
 from govmill.llm.shared import cut, small_enough
 
 SAMPLE = 20_000
-TABLE_ROWS = 2_000_000
+TABLE_ROWS = 6_000_000  #: 16 bytes each
 SEND_BOUND = 100_000  #: labelled ids that may be sent to every task
-ORDER = 5
-LENGTH_POWER = 0.5  #: word ratios are divided by this power of the number of pieces
+ORDER = 8  #: characters, of which the first of a word is BEFORE: a stem of seven letters
+SHARE, FEWEST = 0.02, 2
 DISCOUNT = 0.75
 PSEUDO = 0.5
 TOXIC = 0.7
@@ -47,20 +48,38 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 3
 
 
-def word_pieces(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces of ORDER bytes of each word flat[start:end] as numbers, one word after another, and their bounds."""
+def word_pieces(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of ORDER characters of each word flat[start:end] as ranges of bytes: the bytes, starts, ends, and bounds of the words."""
     body, offset = ragged.gather(flat, start, end)
     size = np.diff(offset)
-    bound = np.concatenate([[0], np.cumsum(size + 1)])
-    padded = np.full(bound[-1] + (ORDER - 1) * len(size), BEFORE, np.uint64)
-    shift = (ORDER - 1) * (np.arange(len(size)) + 1)
-    padded[np.arange(len(body)) + np.repeat(bound[:-1] - offset[:-1] + shift, size)] = body
-    padded[bound[1:] - 1 + shift] = AFTER
-    total = np.zeros(len(padded), np.uint64)
-    for k in range(ORDER):
-        total[k:] |= padded[: len(padded) - k] << np.uint64(8 * k)
-    last = np.arange(bound[-1]) + np.repeat(shift, size + 1)
-    return total[last].view(np.int64), bound
+    first = offset[:-1] + np.arange(len(size)) * ORDER
+    padded = np.full(offset[-1] + len(size) * ORDER, BEFORE, np.uint8)
+    padded[np.arange(len(body)) + np.repeat(first + ORDER - 1 - offset[:-1], size)] = body
+    last = first + ORDER - 1 + size
+    padded[last] = AFTER
+    begins = (padded & 0xC0) != 0x80
+    lead = np.append(np.flatnonzero(begins), len(padded))
+    nth = np.cumsum(begins) - 1
+    count = nth[last] - nth[first] - ORDER + 2
+    bound = np.concatenate([[0], np.cumsum(count)])
+    at = np.arange(bound[-1]) + np.repeat(nth[first] + ORDER - 1 - bound[:-1], count)
+    return padded, lead[at - ORDER + 1], lead[at + 1], bound
+
+
+def piece_keys(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the pieces of each word, one word after another, and their bounds."""
+    padded, first, last, bound = word_pieces(flat, start, end)
+    return ragged.piece_keys(padded, first, last).view(np.int64), bound
+
+
+def top_means(ratio: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Mean of the largest SHARE of ratio[bound[i]:bound[i + 1]], at least FEWEST (a missing one is 0), for every i."""
+    size = np.diff(bound)
+    row = np.repeat(np.arange(len(size)), size)
+    best = np.lexsort((-ratio, row))
+    taken = np.maximum(FEWEST, np.ceil(SHARE * size))
+    among = np.arange(len(ratio)) - bound[row] < taken[row]
+    return np.bincount(row[among], ratio[best][among], len(size)) / taken
 
 
 class Words:
@@ -103,24 +122,31 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def piece_ratios(counts: DataFrame) -> DataFrame:
-    """(piece, ratio): log of toxic over ordinary probability of each seen piece after its first four bytes."""
+    """(piece, ratio): log of toxic over ordinary probability of each seen piece after its characters but the last."""
+    names = [c for c in counts.columns if c != "word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offset = words.column_bytes(batch.column("word"))
-            piece, bound = word_pieces(flat, offset[:-1], offset[1:])
+            padded, first, last, bound = word_pieces(flat, offset[:-1], offset[1:])
+            data, cuts = ragged.gather(padded, first, last)
+            piece = pa.Array.from_buffers(pa.large_utf8(), len(first), [None, pa.py_buffer(cuts), pa.py_buffer(data)]).cast(pa.string())
             size = np.diff(bound)
-            yield pa.RecordBatch.from_arrays([pa.array(piece), *(pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in ("n0", "n1"))],
-                                             names=["piece", "n0", "n1"])
+            yield pa.RecordBatch.from_arrays([piece, *(pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in names)], names=["piece", *names])
 
-    context = F.shiftright("piece", 8)
-    table = (counts.mapInArrow(run, "piece bigint, n0 bigint, n1 bigint").groupBy("piece").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-             .withColumn("n", F.col("n0") + F.col("n1")).withColumn("context", context))
-    table = cut(table.withColumn("suffix", F.col("piece").bitwiseAND((1 << 8 * (ORDER - 1)) - 1)))
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, offset = words.column_bytes(batch.column("piece"))
+            key = ragged.piece_keys(flat, offset[:-1], offset[1:]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("ratio")], names=["piece", "ratio"])
+
+    table = (counts.mapInArrow(run, "piece string" + "".join(f", {c} bigint" for c in names)).groupBy("piece").agg(*[F.sum(c).alias(c) for c in names])
+             .withColumn("n", F.col("n0") + F.col("n1")).withColumn("context", F.substring("piece", 1, ORDER - 1)))
+    table = cut(table.withColumn("suffix", F.substring("piece", 2, ORDER - 1)))
     kinds = lambda c: F.count(F.when(F.col(c) > 0, 1))
     contexts = table.groupBy("context").agg(*[F.sum(c).alias(f"t_{c}") for c in ("n", "n0", "n1")], *[kinds(c).alias(f"k_{c}") for c in ("n", "n0", "n1")])
     # Lower order of the shared model: how many different pieces end like this one, among those with its middle.
-    lower = table.groupBy("suffix").agg(F.count("*").alias("ways")).withColumn("middle", F.shiftright("suffix", 8))
+    lower = table.groupBy("suffix").agg(F.count("*").alias("ways")).withColumn("middle", F.substring("suffix", 1, ORDER - 2))
     middle = lower.groupBy("middle").agg(F.sum("ways").alias("all_ways"))
     lower = lower.join(middle, "middle").select("suffix", (F.col("ways") / F.col("all_ways")).alias("below"))
     full = table.join(contexts, "context").join(lower, "suffix")
@@ -130,7 +156,7 @@ def piece_ratios(counts: DataFrame) -> DataFrame:
         freed = DISCOUNT * F.col(f"k_{c}") + PSEUDO
         return (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + freed * shared) / (F.col(f"t_{c}") + PSEUDO)
 
-    return full.select("piece", F.log(own("n1") / own("n0")).alias("ratio"))
+    return full.select("piece", F.log(own("n1") / own("n0")).alias("ratio")).mapInArrow(keyed, "piece bigint, ratio double")
 
 
 class Pieces:
@@ -142,22 +168,20 @@ class Pieces:
         self.piece, self.ratio = piece[order], ratio[order]
 
     def peaks(self, column: pa.Array) -> np.ndarray:
-        """The largest word ratio of each row; 0 for rows without a word."""
+        """The mean of the largest word ratios of each row; 0 for rows without a word."""
         got = Words(column)
         out = np.zeros(len(column))
         if len(got.key) and len(self.piece):
             _, first, code = ragged.distinct(got.key)
-            piece, bound = word_pieces(got.flat, got.start[first], got.end[first])
+            piece, bound = piece_keys(got.flat, got.start[first], got.end[first])
             at = np.minimum(np.searchsorted(self.piece, piece), len(self.piece) - 1)
             value = np.where(self.piece[at] == piece, self.ratio[at], 0.0)
-            word = np.add.reduceat(value, bound[:-1]) / np.diff(bound) ** LENGTH_POWER
-            some = np.flatnonzero(np.diff(got.bound) > 0)
-            out[some] = np.maximum.reduceat(word[code], got.bound[some])
+            out = top_means(np.add.reduceat(value, bound[:-1])[code], got.bound)
         return out
 
 
 def peaks(docs: DataFrame, ratios: DataFrame, rows: int = TABLE_ROWS) -> DataFrame:
-    """`peak` (the largest word ratio) in the place of a column `text`."""
+    """`peak` (the mean of the largest word ratios) in the place of a column `text`."""
     kept = docs.drop("text")
     names, kinds = kept.columns, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields)
     if small_enough(ratios, rows):
@@ -177,15 +201,21 @@ def peaks(docs: DataFrame, ratios: DataFrame, rows: int = TABLE_ROWS) -> DataFra
             for part in words.slices(batch, "text"):
                 got = Words(part.column("text"))
                 row = np.repeat(part.column("row").to_numpy(), np.diff(got.bound))
-                _, first, _ = ragged.distinct(ragged.mixed(row) ^ got.key)
-                piece, bound = word_pieces(got.flat, got.start[first], got.end[first])
+                _, first, code = ragged.distinct(ragged.mixed(row) ^ got.key)
+                piece, bound = piece_keys(got.flat, got.start[first], got.end[first])
                 size = np.diff(bound)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(row[first], size)), pa.array(np.repeat(got.key[first].view(np.int64), size)),
-                                                  pa.array(piece)], names=["row", "word", "piece"])
-
-    by_word = (keyed.select("row", "text").mapInArrow(each, "row bigint, word bigint, piece bigint").join(ratios, "piece", "left")
-               .groupBy("row", "word").agg((F.sum(F.coalesce("ratio", F.lit(0.0))) / F.pow(F.count("*"), F.lit(LENGTH_POWER))).alias("ratio")))
-    best = by_word.groupBy("row").agg(F.max("ratio").alias("peak"))
+                                                  pa.array(np.repeat(np.bincount(code, minlength=len(first)), size)), pa.array(piece)],
+                                                 names=["row", "word", "times", "piece"])
+
+    by_word = (keyed.select("row", "text").mapInArrow(each, "row bigint, word bigint, times bigint, piece bigint").join(ratios, "piece", "left")
+               .groupBy("row", "word").agg(F.sum(F.coalesce("ratio", F.lit(0.0))).alias("ratio"), F.max("times").alias("times")))
+    row = Window.partitionBy("row")
+    upto = row.orderBy(F.desc("ratio"), "word").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = F.greatest(F.lit(FEWEST), F.ceil(SHARE * F.sum("times").over(row)))
+    left = F.col("taken") - F.col("upto") + F.col("times")
+    ranked = by_word.withColumn("taken", taken).withColumn("upto", F.sum("times").over(upto))
+    best = ranked.where(left > 0).groupBy("row").agg((F.sum(F.col("ratio") * F.least("times", left)) / F.max("taken")).alias("peak"))
     return keyed.drop("text").join(best, "row", "left").drop("row").withColumn("peak", F.coalesce("peak", F.lit(0.0)))
 
 

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from govmill.llm import quality_lm, queries, toxicity, url_filter
@@ -91,6 +92,26 @@ def test_toxicity_on_held_out_documents(llm, sf_dir):
     assert sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.03 * len(clean)
 
 
+def test_toxic_documents_are_found_in_every_language(llm, sf_dir):
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs = queries.table(llm, folder, "documents").select("doc_id", "lang")
+    out = queries.op2_toxicity(llm, folder).join(queries.table(llm, folder, "labels"), "doc_id").join(docs, "doc_id").where("held_out").collect()
+    for lang in ("en", "de", "fr", "es"):
+        toxic, clean = ([r.predicted for r in out if r.lang == lang and r.toxic == t] for t in (1, 0))
+        assert sum(toxic) >= 0.85 * len(toxic) > 0 and sum(clean) <= 0.03 * len(clean), lang
+
+
+def test_pieces_are_counted_in_characters_and_ratios_over_the_top_words():
+    flat = np.frombuffer("réêeux漢abcdefgh".encode(), np.uint8)
+    at = len("réêeux漢".encode())
+    padded, first, last, bound = toxicity.word_pieces(flat, np.array([0, at]), np.array([at, len(flat)]))
+    got = [padded[a:b].tobytes().decode() for a, b in zip(first, last, strict=True)]
+    want = [("\x01" * 7 + w + "\x02")[i:i + 8] for w in ("réêeux漢", "abcdefgh") for i in range(len(w) + 1)]
+    assert got == want and bound.tolist() == [0, 8, 17]
+    ratios = np.array([5.0, 1, 1, 3] + [0.0] * 96 + [2.0] * 3 + [4.0] + [-1.0] * 97)
+    assert toxicity.top_means(ratios, np.array([0, 0, 1, 100, 201])).tolist() == [0, 2.5, 2, 8 / 3]
+
+
 def test_toxicity_table_and_join_agree_and_odd_rows(docs, odd, llm):
     pick = random.Random(6)
     calm, rude = ["stone", "river", "moon", "tree", "cloud"], ["vilest", "vilely", "vileness"]
