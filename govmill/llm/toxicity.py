@@ -10,7 +10,8 @@ SHARE of all its words, repetitions counted, at least FEWEST. So it does not gro
 is not toxic yet, and ordinary words do not drown toxic ones. It becomes a probability by a logistic curve, fitted on labelled
 documents by counts that leave them out (one half rated by the other), both classes weighing the same.
 
-Fitting takes a bounded sample of labelled rows (about SAMPLE, by a hash of the id); scoring reads every whole text in place. The table of pieces is sent to the tasks if it has at most
+All labelled rows that are not held out are counted, at any size; only the curve, which has two numbers, is fitted on a sample of them
+(about SAMPLE, by a hash of the id). Scoring reads every whole text in place. The table of pieces is sent to the tasks if it has at most
 TABLE_ROWS rows (checked); beyond that, the words of documents are joined with it.
 
 Defined results: a null or empty text, or one without a word, has the score of a ratio of 0. Repeated rows are each scored. A row
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from govmill.llm import ragged, words
 from govmill.llm.shared import cut, small_enough
 
-SAMPLE = 20_000
+SAMPLE = 20_000  #: labelled rows that the curve is fitted on
 TABLE_ROWS = 6_000_000  #: 16 bytes each
-SEND_BOUND = 100_000  #: labelled ids that may be sent to every task
+SEND_BOUND = 1_000_000  #: labelled ids that may be sent to every task
 ORDER = 8  #: characters, of which the first of a word is BEFORE: a stem of seven letters
 SHARE, FEWEST = 0.02, 2
 DISCOUNT = 0.75
@@ -103,26 +104,35 @@ class Words:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, n0, n1): in how many different places (words before it) a word stands in ordinary and in toxic texts."""
+    """(word, n0, n1): in how many different places (words before it) a word stands in ordinary and in toxic texts.
+
+    Rows with a column `half` (0 or 1) also give these counts within each half, as n0_0, n1_0, n0_1 and n1_1, from the same exchange.
+    """
+    halves = "half" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.slices(batch, "text"):
                 got = Words(part.column("text"))
                 toxic = np.repeat(part.column("toxic").to_numpy(), np.diff(got.bound)).astype(np.uint64)
+                half = np.repeat(part.column("half").to_numpy(), np.diff(got.bound)).astype(np.uint64)
                 before = np.concatenate([[0], got.key[:-1]]).astype(np.uint64) if len(got.key) else got.key
                 before[got.bound[:-1][np.diff(got.bound) > 0]] = 0
-                _, first, _ = ragged.distinct(ragged.mixed(before) + got.key * np.uint64(3) + toxic)
+                _, first, _ = ragged.distinct(ragged.mixed(before) + got.key * np.uint64(5) + toxic + half * np.uint64(2))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(toxic[first].astype(np.int64)), pa.array(before[first].view(np.int64)), got.strings(first)],
-                    names=["toxic", "before", "word"])
+                    [pa.array(toxic[first].astype(np.int64)), pa.array(before[first].view(np.int64)), got.strings(first),
+                     pa.array((half[first] + np.uint64(1)).astype(np.int64))], names=["toxic", "before", "word", "seen"])
 
-    places = rows.select("text", "toxic").mapInArrow(run, "toxic bigint, before bigint, word binary").distinct()
-    return places.groupBy("word").agg(F.sum(1 - F.col("toxic")).alias("n0"), F.sum("toxic").alias("n1"))
+    found = rows.select("text", "toxic", F.col("half").cast("bigint").alias("half") if halves else F.lit(0).cast("bigint").alias("half"))
+    places = (found.mapInArrow(run, "toxic bigint, before bigint, word binary, seen bigint")
+              .groupBy("toxic", "before", "word").agg(F.bit_or("seen").alias("seen")))
+    count = lambda toxic, seen: F.count_if((F.col("toxic") == toxic) & (F.col("seen").bitwiseAND(seen) > 0))
+    each = [count(t, 1 << h).alias(f"n{t}_{h}") for h in (0, 1) for t in (0, 1)] if halves else []
+    return places.groupBy("word").agg(count(0, 3).alias("n0"), count(1, 3).alias("n1"), *each)
 
 
-def piece_ratios(counts: DataFrame) -> DataFrame:
-    """(piece, ratio): log of toxic over ordinary probability of each seen piece after its characters but the last."""
+def piece_counts(counts: DataFrame) -> DataFrame:
+    """Counts of words as counts of their pieces."""
     names = [c for c in counts.columns if c != "word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,15 +144,25 @@ def piece_ratios(counts: DataFrame) -> DataFrame:
             size = np.diff(bound)
             yield pa.RecordBatch.from_arrays([piece, *(pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in names)], names=["piece", *names])
 
+    return counts.mapInArrow(run, "piece string" + "".join(f", {c} bigint" for c in names)).groupBy("piece").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def piece_ratios(counts: DataFrame) -> DataFrame:
+    """(piece, ratio) from counts of words."""
+    return ratios_of(cut(piece_counts(counts)))
+
+
+def ratios_of(counted: DataFrame) -> DataFrame:
+    """(piece, ratio): log of toxic over ordinary probability of each seen piece after its characters but the last."""
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offset = words.column_bytes(batch.column("piece"))
             key = ragged.piece_keys(flat, offset[:-1], offset[1:]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("ratio")], names=["piece", "ratio"])
 
-    table = (counts.mapInArrow(run, "piece string" + "".join(f", {c} bigint" for c in names)).groupBy("piece").agg(*[F.sum(c).alias(c) for c in names])
-             .withColumn("n", F.col("n0") + F.col("n1")).withColumn("context", F.substring("piece", 1, ORDER - 1)))
-    table = cut(table.withColumn("suffix", F.substring("piece", 2, ORDER - 1)))
+    table = (counted.withColumn("n", F.col("n0") + F.col("n1")).where("n > 0").withColumn("context", F.substring("piece", 1, ORDER - 1))
+             .withColumn("suffix", F.substring("piece", 2, ORDER - 1)))
     kinds = lambda c: F.count(F.when(F.col(c) > 0, 1))
     contexts = table.groupBy("context").agg(*[F.sum(c).alias(f"t_{c}") for c in ("n", "n0", "n1")], *[kinds(c).alias(f"k_{c}") for c in ("n", "n0", "n1")])
     # Lower order of the shared model: how many different pieces end like this one, among those with its middle.
@@ -248,15 +268,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = (labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("bigint").alias("toxic")).where("id is not null and toxic in (0, 1)")
              .where(fold("id") != 1).groupBy("id").agg(F.max("toxic").alias("toxic")))
     share = min(1.0, sample / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1e6)).withColumn("half", F.pmod(F.hash("id"), F.lit(2)))
+    known = known.withColumn("half", F.pmod(F.hash("id"), F.lit(2)).cast("bigint"))
     if small_enough(known, SEND_BOUND):
         known = F.broadcast(known)
     learned = rows.join(known, "id")
-    # The curve is fitted on what was not counted: each half is rated by counts of the other, then both halves are counted.
-    halves = [cut(piece_ratios(word_counts(learned.where(F.col("half") == h)))) for h in (0, 1)]
-    rated = [peaks(learned.where(F.col("half") != h).select("toxic", "text"), halves[h]) for h in (0, 1)]
+    counted = cut(piece_counts(word_counts(learned)))
+    # The curve is fitted on what was not counted: each half is rated by counts of the other.
+    picked = rows.join(known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1e6)), "id")
+    halves = [cut(ratios_of(counted.select("piece", F.col(f"n0_{h}").alias("n0"), F.col(f"n1_{h}").alias("n1")))) for h in (0, 1)]
+    rated = [peaks(picked.where(F.col("half") != h).select("toxic", "text"), halves[h]) for h in (0, 1)]
     slope, height = curve(rated[0].unionByName(rated[1]))
-    ratios = cut(piece_ratios(word_counts(learned)))
+    ratios = cut(ratios_of(counted.select("piece", "n0", "n1")))
     score = 1 / (1 + F.exp(-(slope * F.col("peak") + height))) if height > -math.inf else F.lit(0.0)
     out = peaks(rows, ratios).select(F.col("id").alias(id_col), F.coalesce(fold("id") == 1, F.lit(False)).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))

@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -112,6 +113,33 @@ def test_pieces_are_counted_in_characters_and_ratios_over_the_top_words():
     assert toxicity.top_means(ratios, np.array([0, 0, 1, 100, 201])).tolist() == [0, 2.5, 2, 8 / 3]
 
 
+def test_all_labelled_rows_are_counted_however_few_fit_the_curve(docs, llm):
+    pick = random.Random(8)
+    rude = [chr(97 + k // 26) + chr(97 + k % 26) + "zzyx" for k in range(150)]
+    rows = []
+    for i in range(600):
+        words = pick.choices(["stone", "river", "moon", "tree", "cloud"], k=10)
+        if i % 2:
+            words[2:2] = [rude[i // 4 % 150]] * 2
+        rows.append((i, " ".join(words)))
+    labels = llm.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    # With counts from the 60 rows of the curve, most rude words would not be seen.
+    full = docs(rows)
+    learned = full.join(labels, "doc_id").withColumn("half", labels.doc_id % 2)
+    seen = {r.word.decode(): r for r in toxicity.word_counts(learned).collect()}
+    assert set(seen) >= set(rude)
+    assert seen["stone"].n0 == seen["stone"].n0_0 and seen["stone"].n0_1 == 0 == seen["stone"].n1_0
+    counted = []
+    inner = toxicity.piece_counts
+    toxicity.piece_counts = lambda counts: counted.append({r.word.decode() for r in counts.select("word").collect()}) or inner(counts)
+    try:
+        toxicity.toxicity(full, labels, sample=60).count()
+    finally:
+        toxicity.piece_counts = inner
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1}
+    assert counted[0] == {w for i, t in rows if i not in held for w in t.split()}
+
+
 def test_toxicity_table_and_join_agree_and_odd_rows(docs, odd, llm):
     pick = random.Random(6)
     calm, rude = ["stone", "river", "moon", "tree", "cloud"], ["vilest", "vilely", "vileness"]
