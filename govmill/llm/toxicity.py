@@ -149,34 +149,42 @@ def piece_counts(counts: DataFrame) -> DataFrame:
 
 def piece_ratios(counts: DataFrame) -> DataFrame:
     """(piece, ratio) from counts of words."""
-    return ratios_of(cut(piece_counts(counts)))
+    return ratios_of(cut(piece_counts(counts)), [""])
 
 
-def ratios_of(counted: DataFrame) -> DataFrame:
-    """(piece, ratio): log of toxic over ordinary probability of each seen piece after its characters but the last."""
+def ratios_of(counted: DataFrame, parts: list[str]) -> DataFrame:
+    """piece, and for each part the ratio: log of toxic over ordinary probability of the piece after its characters but the last.
+
+    A part names the columns that hold its counts; a piece that it has not seen has a null. All sums are over pieces with the same six
+    characters in the middle, so one exchange does for all of them; such a group has at most the square of the alphabet.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offset = words.column_bytes(batch.column("piece"))
             key = ragged.piece_keys(flat, offset[:-1], offset[1:]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("ratio")], names=["piece", "ratio"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns[1:]], names=batch.schema.names)
+
+    table = counted.withColumns({"middle": F.substring("piece", 2, ORDER - 2), "context": F.substring("piece", 1, ORDER - 1),
+                                 "suffix": F.substring("piece", 2, ORDER - 1)})
+    middle, context, suffix = (Window.partitionBy(*c) for c in (["middle"], ["middle", "context"], ["middle", "suffix"]))
+
+    def ratio(part: str) -> Column:
+        n0, n1 = F.col(f"n0{part}"), F.col(f"n1{part}")
+        kinds = lambda n, over: F.count(F.when(n > 0, 1)).over(over)
+        # Lower order of the shared model: how many different pieces end like this one, among those with its middle.
+        below = kinds(n0 + n1, suffix) / kinds(n0 + n1, middle)
+        shared = (n0 + n1 - DISCOUNT + DISCOUNT * kinds(n0 + n1, context) * below) / F.sum(n0 + n1).over(context)
 
-    table = (counted.withColumn("n", F.col("n0") + F.col("n1")).where("n > 0").withColumn("context", F.substring("piece", 1, ORDER - 1))
-             .withColumn("suffix", F.substring("piece", 2, ORDER - 1)))
-    kinds = lambda c: F.count(F.when(F.col(c) > 0, 1))
-    contexts = table.groupBy("context").agg(*[F.sum(c).alias(f"t_{c}") for c in ("n", "n0", "n1")], *[kinds(c).alias(f"k_{c}") for c in ("n", "n0", "n1")])
-    # Lower order of the shared model: how many different pieces end like this one, among those with its middle.
-    lower = table.groupBy("suffix").agg(F.count("*").alias("ways")).withColumn("middle", F.substring("suffix", 1, ORDER - 2))
-    middle = lower.groupBy("middle").agg(F.sum("ways").alias("all_ways"))
-    lower = lower.join(middle, "middle").select("suffix", (F.col("ways") / F.col("all_ways")).alias("below"))
-    full = table.join(contexts, "context").join(lower, "suffix")
-    shared = (F.col("n") - DISCOUNT + DISCOUNT * F.col("k_n") * F.col("below")) / F.col("t_n")
+        def own(n: Column) -> Column:
+            freed = DISCOUNT * kinds(n, context) + PSEUDO
+            return (F.greatest(n - DISCOUNT, F.lit(0.0)) + freed * shared) / (F.sum(n).over(context) + PSEUDO)
 
-    def own(c: str) -> Column:
-        freed = DISCOUNT * F.col(f"k_{c}") + PSEUDO
-        return (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + freed * shared) / (F.col(f"t_{c}") + PSEUDO)
+        return F.when(n0 + n1 > 0, F.log(own(n1) / own(n0)))
 
-    return full.select("piece", F.log(own("n1") / own("n0")).alias("ratio")).mapInArrow(keyed, "piece bigint, ratio double")
+    names = [f"ratio{part}" for part in parts]
+    return (table.select("piece", *[ratio(part).alias(name) for part, name in zip(parts, names, strict=True)])
+            .mapInArrow(keyed, "piece bigint" + "".join(f", {name} double" for name in names)))
 
 
 class Pieces:
@@ -272,13 +280,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if small_enough(known, SEND_BOUND):
         known = F.broadcast(known)
     learned = rows.join(known, "id")
-    counted = cut(piece_counts(word_counts(learned)))
+    ratios = cut(ratios_of(cut(piece_counts(cut(word_counts(learned)))), ["", "_0", "_1"]))
     # The curve is fitted on what was not counted: each half is rated by counts of the other.
     picked = rows.join(known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1e6)), "id")
-    halves = [cut(ratios_of(counted.select("piece", F.col(f"n0_{h}").alias("n0"), F.col(f"n1_{h}").alias("n1")))) for h in (0, 1)]
+    halves = [ratios.where(f"ratio_{h} is not null").select("piece", F.col(f"ratio_{h}").alias("ratio")) for h in (0, 1)]
     rated = [peaks(picked.where(F.col("half") != h).select("toxic", "text"), halves[h]) for h in (0, 1)]
     slope, height = curve(rated[0].unionByName(rated[1]))
-    ratios = cut(ratios_of(counted.select("piece", "n0", "n1")))
+    ratios = ratios.select("piece", "ratio")
     score = 1 / (1 + F.exp(-(slope * F.col("peak") + height))) if height > -math.inf else F.lit(0.0)
     out = peaks(rows, ratios).select(F.col("id").alias(id_col), F.coalesce(fold("id") == 1, F.lit(False)).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
