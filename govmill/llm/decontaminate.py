@@ -4,9 +4,11 @@ Every document is cut into windows as long as benchmark items are (a few sizes,
 length). A window's fingerprint has 64 bits: the majority of its words' key bits. An item has a fingerprint for each of as many
 offsets as the stride has steps, so that a passage meets a window cut at the same words, wherever it stands. Fingerprints
 within RADIUS bits are found without fail: their 16 bits agree but for one in at least one of four blocks, and each block of the
-index lists its neighbours too. Each candidate is then checked on the words: the weight of an item's 5-word shingles that
+index lists its neighbours too. A changed, cut or long passage may have no such window, so single shingles nominate as well: of each item
+the heaviest ones, as many as weigh more than what a match may lack. A passage without any of them cannot reach LEAST, so none is lost,
+wherever in the item the change lies. Each candidate is then checked on the words, at the best place near it: the weight of an item's 5-word shingles that
 stand in the passage, as a share of the weight of all of them, has to be 0.8 or more (weight: log(1 + items / items
-that have the shingle)).
+that have the shingle, over the whole benchmark)).
 
 The benchmark is the query set, taken in blocks of items whose size is checked; documents are read once per block and never
 shuffled. A lost task is run again by itself.
@@ -101,13 +103,12 @@ class Index:
         shingle, row = shingle[enough], row[enough]
         both = np.unique(np.stack([shingle, row.astype(np.uint64)]), axis=1)
         self.shingle, df = np.unique(both[0], return_counts=True)
-        self.weight = np.log1p(max(1, len(ids)) / df) if len(df) else np.zeros(0)
+        self.df = df
         owner = both[1].astype(np.int64)
         order = np.argsort(owner, kind="stable")
         at = np.searchsorted(self.shingle, both[0])[order]
         cut = np.searchsorted(owner[order], np.arange(len(ids) + 1))
         self.own = [at[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        self.full = np.array([self.weight[x].sum() for x in self.own])
         self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[Block]]] = {}
         fits: dict[int, list[int]] = {}
         for i, n in enumerate(self.size.tolist()):
@@ -123,6 +124,57 @@ class Index:
             prints = fingerprints(keys, [(w, start[order])])[0]
             self.tables[w] = item, shift, prints, [Block.of(prints, s) for s in (0, 16, 32, 48)]
 
+        self.weigh(len(ids), self.df)
+
+    def weigh(self, items: int, df: np.ndarray) -> None:
+        """Set the weights of shingles from their counts among so many items, and which shingles nominate which items."""
+        self.weight = np.log1p(max(1, items) / df) if len(df) else np.zeros(0)
+        self.full = np.array([self.weight[x].sum() for x in self.own])
+        named, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, mine in enumerate(self.own):
+            heavy = mine[np.argsort(-self.weight[mine], kind="stable")]
+            enough = np.cumsum(self.weight[heavy]) - self.weight[heavy] <= (1 - LEAST + 1e-9) * self.full[i]
+            named.append(heavy[enough])
+            owner.append(np.full(enough.sum(), i))
+        named, owner = np.concatenate(named), np.concatenate(owner)
+        order = np.argsort(named, kind="stable")
+        self.named_item = owner[order]
+        self.named_bound = np.searchsorted(named[order], np.arange(len(self.shingle) + 1))
+
+    def nominated(self, keys: np.ndarray, bound: np.ndarray) -> list[tuple[int, int, int]]:
+        """(row, item, first word) of each place with a shingle that nominates the item."""
+        if not len(self.shingle) or not len(keys):
+            return []
+        shingle, row, first = words.shingle_keys(keys, bound, SHINGLE)
+        place = np.minimum(np.searchsorted(self.shingle, shingle), len(self.shingle) - 1)
+        hit = np.flatnonzero((self.shingle[place] == shingle) & (np.diff(bound)[row] >= SHINGLE))
+        count = np.diff(self.named_bound)[place[hit]]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        item = self.named_item[np.repeat(self.named_bound[place[hit]], count) + within]
+        return list(zip(np.repeat(row[hit], count).tolist(), item.tolist(), np.repeat(first[hit], count).tolist(), strict=True))
+
+    def best_window(self, item: int, keys: np.ndarray) -> tuple[float, int]:
+        """Largest similarity of the item to a passage of its length and a shingle more at both ends, and where its first word is."""
+        shingle, _, _ = words.shingle_keys(keys, np.array([0, len(keys)]), SHINGLE)
+        place = np.minimum(np.searchsorted(self.shingle, shingle), len(self.shingle) - 1)
+        at = np.flatnonzero((self.shingle[place] == shingle) & np.isin(place, self.own[item]))
+        if self.weight[np.unique(place[at])].sum() < (LEAST - 1e-9) * self.full[item]:
+            return 0.0, 0
+        room, seen, total, left, best, where = int(self.size[item]) + SHINGLE + 1, {}, 0.0, 0, 0.0, 0
+        spots, kinds = at.tolist(), place[at].tolist()
+        for spot, kind in zip(spots, kinds, strict=True):
+            if not seen.get(kind):
+                total += self.weight[kind]
+            seen[kind] = seen.get(kind, 0) + 1
+            while spot - spots[left] >= room:
+                seen[kinds[left]] -= 1
+                if not seen[kinds[left]]:
+                    total -= self.weight[kinds[left]]
+                left += 1
+            if total > best + 1e-9:
+                best, where = total, spots[left]
+        return float(best / self.full[item]), where
+
     def similarity(self, item: int, present: np.ndarray) -> float:
         """Weight of the item's shingles among those present (sorted positions in `shingle`), as a share of its own."""
         return float(self.weight[np.intersect1d(self.own[item], present)].sum() / self.full[item])
@@ -154,6 +206,21 @@ class Index:
             got = self.similarity(i, np.unique(place[self.shingle[place] == shingle]))
             if got >= LEAST - 1e-12 and got > best.get((r, i), (0.0, 0))[0]:
                 best[r, i] = got, max(0, int(at - bound[r]))
+        places: dict[tuple[int, int], list[int]] = {}
+        for r, i, at in self.nominated(keys, bound):
+            places.setdefault((r, i), []).append(at)
+        for (r, i), spots in places.items():
+            if best.get((r, i), (0.0, 0))[0] >= 1 - 1e-12:
+                continue
+            # Regions around the nominating places; those that overlap are one.
+            far = int(self.size[i]) + 2 * SHINGLE
+            spots.sort()
+            cuts = [0, *(k for k in range(1, len(spots)) if spots[k] - spots[k - 1] > 2 * far), len(spots)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                a, b = max(bound[r], spots[x] - far), min(bound[r + 1], spots[y - 1] + far)
+                got, first = self.best_window(i, keys[a:b])
+                if got >= LEAST - 1e-12 and got > best.get((r, i), (0.0, 0))[0] + 1e-9:
+                    best[r, i] = got, int(a - bound[r]) + first
         return [(r, i, s, at) for (r, i), (s, at) in sorted(best.items())]
 
 
@@ -167,6 +234,10 @@ def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
         got = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).toArrow().combine_chunks()
         text = got.column("text").combine_chunks() if got.num_rows else pa.array([], pa.string())
         out.append(Index(got.column("id").to_pylist(), text))
+    kinds, code = np.unique(np.concatenate([x.shingle for x in out]), return_inverse=True)
+    df = np.bincount(code, np.concatenate([x.df for x in out]), len(kinds))
+    for index in out:
+        index.weigh(sum(len(x.ids) for x in out), df[np.searchsorted(kinds, index.shingle)])
     return out
 
 

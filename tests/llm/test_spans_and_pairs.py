@@ -123,6 +123,39 @@ def test_benchmark_in_blocks(llm, docs, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.matches(rows, items).collect()} == {(i, i) for i in range(12)}
 
 
+@pytest.mark.parametrize("size", [15, 30, 45, 300, 1000])
+def test_changed_passages_of_all_lengths_are_found(size):
+    import pyarrow as pa
+
+    pick = random.Random(size)
+    word = lambda: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    items = [[word() for _ in range(size)] for _ in range(20)]
+    index = decontaminate.Index(list(range(20)), pa.array([" ".join(t) for t in items], "string"))
+    shingles = lambda t: {tuple(t[k:k + 5]) for k in range(len(t) - 4)}
+    texts, want = [], set()
+    for i, t in enumerate(items):
+        drop = round(0.17 * (size - 4))
+        changed = list(t)
+        for _ in range(max(1, size // 28)):
+            changed[pick.randrange(size)] = word()
+        for passage in (t[drop:], t[:-drop], changed, t[:size // 2]):
+            if len(shingles(t) & shingles(passage)) >= 0.8 * (size - 4):
+                want.add((len(texts), i))
+            texts.append(" ".join([word() for _ in range(pick.randrange(40))] + passage + [word() for _ in range(pick.randrange(40))]))
+    assert len(want) >= 40
+    assert {(r, i) for r, i, _, _ in index.search(pa.array(texts, "string"))} == want
+
+
+def test_weights_are_those_of_the_whole_benchmark(llm, monkeypatch):
+    items = llm.createDataFrame([(i, f"a common start of all items {i} then x{i} y{i} z{i} w{i} v{i}") for i in range(40)], "item_id bigint, text string")
+    whole = {k: w for x in decontaminate.indexes(items) for k, w in zip(x.shingle.tolist(), x.weight.tolist(), strict=True)}
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 300)
+    parts = decontaminate.indexes(items)
+    assert len(parts) > 3
+    for x in parts:
+        assert [whole[k] for k in x.shingle.tolist()] == pytest.approx(x.weight.tolist())
+
+
 def test_lattice_points_are_nearest():
     pick = np.random.default_rng(1)
     x = pick.normal(size=(300, 8))
