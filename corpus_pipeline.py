@@ -26,20 +26,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id. Documents without id stay.
 
-    Only the ids that leave are looked up. Rows that repeat an id are one document; the first by text stays.
+    Only the keys that leave are looked up. Where ids repeat, a row's key is its id and text: texts of one id are documents of their own.
+    Of rows with equal id and text the first by the other columns stays; texts without a word are copies of nothing and stay.
     """
     ship(spark)
-    classes = jaccard_join.jaccard_classes(docs)
-    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    if small_enough(gone, SEND_BOUND):
-        gone = F.broadcast(gone)
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    stays = docs.join(gone, "doc_id", "left_anti")
-    if repeated.limit(1).count():
-        again = stays.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
-        again = again.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-        stays = stays.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(again)
-    return stays.select(docs.columns)
+    named = docs.where("doc_id is not null")
+    if not named.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        classes = jaccard_join.jaccard_classes(docs)
+        gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
+        return docs.join(F.broadcast(gone) if small_enough(gone, SEND_BOUND) else gone, "doc_id", "left_anti").select(docs.columns)
+    row_key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text")))
+    classes = jaccard_join.jaccard_classes(docs.select(row_key.alias("_key"), "text"), "_key")
+    gone = classes.where("component_id <> _key").select("_key").distinct()
+    keyed = docs.withColumn("_key", row_key)
+    stays = keyed.join(F.broadcast(gone) if small_enough(gone, SEND_BOUND) else gone, "_key", "left_anti")
+    again = keyed.where(F.col("_key").isNotNull() & F.col("text").rlike("[^ \\t-\\r]")).groupBy("_key").count().where("count > 1").select("_key")
+    first = stays.join(again, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return stays.join(again, "_key", "left_anti").select(docs.columns).unionByName(first)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

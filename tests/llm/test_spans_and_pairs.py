@@ -252,6 +252,16 @@ def test_pipeline_stages_keep_columns_and_take_effect(llm, sf_dir):
     assert corpus_pipeline.run(llm, sf_dir).count() > 0
 
 
+def test_rows_that_repeat_an_id_leave_only_as_copies(llm, docs):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(1, text(1)), (2, text(2)), (2, text(1)), (2, None), (2, ""), (3, text(3)), (3, text(3)), (3, text(4)), (None, text(1)), (4, text(3)), (5, text(5))]
+    kept = corpus_pipeline.near_copies(llm, docs(rows), "")
+    want = [(1, text(1)), (2, text(2)), (2, None), (2, ""), (3, text(3)), (3, text(4)), (None, text(1)), (5, text(5))]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs(want).collect()))
+
+
 def test_every_query_is_registered():
     import __spark_entry__ as entry
 
