@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govmill.llm import byte_bpe, chat_repair, decontaminate, embedding_dedup, jaccard_join, pii, quality_lm, token_counts, toxicity, url_filter
+from govmill.llm import byte_bpe, chat_repair, decontaminate, embedding_dedup, exact_topk, jaccard_join, lexical_search, pii
+from govmill.llm import quality_lm, token_alignment, token_counts, toxicity, url_filter
 from govmill.llm.shared import ship
 
 CONTEXT_TOKENS = 1024  #: a document with more tokens is over the limit
@@ -68,6 +69,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -79,7 +93,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 #: Twins in SQL of those that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": r"""
+WITH letters AS (
+  SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, upper, lower), term) AS terms FROM documents, letters),
+sizes AS (SELECT r, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, upper, lower), term)) AS t FROM benchmark, letters),
+held AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(terms) AS t FROM docs) SEMI JOIN wanted USING (t) GROUP BY r, t),
+weight AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, corpus GROUP BY t),
+impact AS (
+  SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS x
+  FROM held JOIN weight USING (t) JOIN sizes USING (r), corpus),
+scored AS (SELECT item_id, r, doc_id, sum(x)::BIGINT AS score FROM wanted JOIN impact USING (t) GROUP BY item_id, r, doc_id HAVING sum(x) > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored
+QUALIFY rank <= 10""",
+    "op12_exact_topk": """
+WITH scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM scaled q JOIN scaled c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored
+QUALIFY rank <= 10""",
+}

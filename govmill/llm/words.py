@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -82,3 +84,20 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = ragged.CHUNK) -> list[
     size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
     cuts = [0, *(np.flatnonzero(np.diff(size // limit)) + 1).tolist(), batch.num_rows]
     return [batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
+
+
+def windows(flat: np.ndarray, offset: np.ndarray, letters_only: bool = False, limit: int = ragged.CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of about `limit` bytes that take no word apart, also within one row."""
+    at, n = 0, len(flat)
+    while at < n:
+        end = min(at + limit, n)
+        while end < n:
+            row_end = int(offset[np.searchsorted(offset, end)])
+            look = flat[end: min(row_end, end + 4096)]
+            gap = np.flatnonzero(~_WORD[look] if letters_only else _BLANK[look])
+            if len(gap) or row_end <= end + 4096:
+                end = end + int(gap[0]) if len(gap) else row_end
+                break
+            end += 4096
+        yield at, end
+        at = end
