@@ -20,7 +20,9 @@ Other columns are not carried, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -58,26 +60,75 @@ def components(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.nda
     return number[after[:n]], number[after[n:]]
 
 
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(list(chain.from_iterable(ids)), np.int64), np.cumsum([0, *map(len, ids)])
+
+
 def links(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the A and B token of every overlapping pair: one for each range between neighbouring ends of either side."""
     ends = np.union1d(a_end, b_end)
     return np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
 
 
-class Part:
-    """What one part of a text comes to. A part that a tokenizer does not give back has `n_a` -1."""
+@dataclass
+class Parts:
+    """What parts of texts come to: `counts` (a row of four per part; n_a is -1 where a tokenizer does not give the part back), the ids of the
+    groups in decimal, each with the sign that follows it, and the pair of every link; both one part after another, with bounds."""
+
+    counts: np.ndarray
+    said: np.ndarray
+    said_bound: np.ndarray
+    pairs: np.ndarray
+    pair_bound: np.ndarray
+
+    def taken(self, which: np.ndarray) -> "Parts":
+        said, said_bound = ragged.gather(self.said, self.said_bound[which], self.said_bound[which + 1])
+        pairs, pair_bound = ragged.gather(self.pairs, self.pair_bound[which], self.pair_bound[which + 1])
+        return Parts(self.counts[which], said, said_bound, pairs, pair_bound)
+
+    def plus(self, other: "Parts") -> "Parts":
+        return Parts(np.concatenate([self.counts, other.counts]), np.concatenate([self.said, other.said]),
+                     np.concatenate([self.said_bound, other.said_bound[1:] + self.said_bound[-1]]), np.concatenate([self.pairs, other.pairs]),
+                     np.concatenate([self.pair_bound, other.pair_bound[1:] + self.pair_bound[-1]]))
 
-    __slots__ = ("counts", "groups", "pairs")
 
-    def __init__(self, counts: tuple[int, int, int, int], groups: bytes, pairs: np.ndarray):
-        self.counts, self.groups, self.pairs = counts, groups, pairs
+def no_parts() -> Parts:
+    zero = np.zeros(1, np.int64)
+    return Parts(np.zeros((0, 4), np.int64), np.zeros(0, np.uint8), zero, np.zeros(0, np.int64), zero)
 
 
-BROKEN = Part((-1, 0, 0, 0), b"", np.zeros(0, np.int64))
+class Memo:
+    """Parts by key, in arrays. Where there would be more than `limit`, those that were not asked for since the last time go, then all."""
+
+    def __init__(self, limit: int = 300_000):
+        self.limit = limit
+        self.keys, self.place, self.used, self.parts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), no_parts()
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the parts with these keys; -1 for none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = np.where(self.keys[at] == keys, self.place[at], -1)
+        self.used[found[found >= 0]] = True
+        return found
+
+    def keep(self, keys: np.ndarray, parts: Parts) -> None:
+        if len(self.keys) + len(keys) > self.limit:
+            stay = np.flatnonzero(self.used[self.place])
+            stay = stay if len(stay) + len(keys) <= self.limit else stay[:0]
+            self.parts, self.keys = self.parts.taken(self.place[stay]), self.keys[stay]
+            self.place = np.arange(len(stay))
+        self.place = np.concatenate([self.place, len(self.keys) + np.arange(len(keys))])
+        self.keys = np.concatenate([self.keys, keys])
+        order = np.argsort(self.keys, kind="stable")
+        self.keys, self.place, self.parts = self.keys[order], self.place[order], self.parts.plus(parts)
+        self.used = np.zeros(len(self.keys), bool)
 
 
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         self.a = Tokenizer.from_file(byte_path)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=piece_path)
@@ -90,50 +141,51 @@ class Aligner:
             raise ValueError("the piece vocabulary has pieces with a blank inside; texts can't be taken apart before blanks")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.alone = self.b.piece_to_id(BLANK)
+        (self.a_flat, self.a_at), (self.b_flat, self.b_at) = (
+            (np.frombuffer(b"".join(t), np.uint8), np.cumsum([0, *map(len, t)])) for t in (self.a_bytes, self.b_bytes))
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         signed = [b"%d%c" % (i, sign) for i in range(max(len(self.a_bytes), len(self.b_bytes))) for sign in b",|;"]
         self.digits, self.digit_bound = np.frombuffer(b"".join(signed), np.uint8), np.cumsum([0, *map(len, signed)])
-        self.memo = ragged.Memo()
+        self.memo = Memo()
 
-    def aligned(self, parts: list[str]) -> list[Part]:
+    def aligned(self, parts: list[str]) -> Parts:
         """Parts that each begin with a blank, aligned all at once."""
-        a_ids = [x.ids for x in self.a.encode_batch(parts, add_special_tokens=False)]
+        a_ids = [x.ids for x in self.a.encode_batch_fast(parts, add_special_tokens=False)]
         # The library puts a blank before each text, and gives nothing at all for an empty one.
-        b_ids = [ids if len(p) > 1 else [self.alone] for p, ids in zip(parts, self.b.encode([p[1:] for p in parts], num_threads=1), strict=True)]
-        out = [BROKEN] * len(parts)
+        b_ids = [ids or [self.alone] for ids in self.b.encode([p[1:] for p in parts], num_threads=1)]
         good = self.given_back(parts, a_ids, b_ids)
-        if not good:
-            return out
-        a_count, b_count = ([len(ids[i]) for i in good] for ids in (a_ids, b_ids))
-        a_flat, b_flat = (np.array(list(chain.from_iterable(ids[i] for i in good)), np.int64) for ids in (a_ids, b_ids))
-        a_end, b_end = np.cumsum(self.a_size[a_flat]), np.cumsum(self.b_size[b_flat])
-        a_group, b_group = components(a_end, b_end)
-        a_at, b_at = links(a_end, b_end)
-        pairs = a_flat[a_at] * len(self.b_bytes) + b_flat[b_at]
-        a_bound, b_bound = (np.concatenate([[0], np.cumsum(c)]) for c in (a_count, b_count))
-        group_bound = np.append(a_group[a_bound[:-1]], a_group[-1] + 1)
-        said, said_bound = self.written(a_flat, b_flat, a_group, b_group, a_bound + b_bound)
-        group_bound, link_bound = group_bound.tolist(), np.searchsorted(a_at, a_bound).tolist()
-        for k, i in enumerate(good):
-            u, v = link_bound[k], link_bound[k + 1]
-            counts = a_count[k], b_count[k], group_bound[k + 1] - group_bound[k], v - u
-            out[i] = Part(counts, said[said_bound[k]: said_bound[k + 1] - 1], pairs[u:v].copy())
-        return out
-
-    def given_back(self, parts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> list[int]:
+        counts = np.zeros((len(parts), 4), np.int64)
+        counts[:, 0] = -1
+        said_size, pair_size = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        said, pairs = np.zeros(0, np.uint8), np.zeros(0, np.int64)
+        if len(good):
+            if len(good) < len(parts):
+                a_ids, b_ids = ([ids[i] for i in good.tolist()] for ids in (a_ids, b_ids))
+            (a_flat, a_bound), (b_flat, b_bound) = flattened(a_ids), flattened(b_ids)
+            a_end, b_end = np.cumsum(self.a_size[a_flat]), np.cumsum(self.b_size[b_flat])
+            a_group, b_group = components(a_end, b_end)
+            a_at, b_at = links(a_end, b_end)
+            pairs = a_flat[a_at] * len(self.b_bytes) + b_flat[b_at]
+            said, said_bound = self.written(a_flat, b_flat, a_group, b_group, a_bound + b_bound)
+            pair_bound = np.searchsorted(a_at, a_bound)
+            group_bound = np.append(a_group[a_bound[:-1]], a_group[-1] + 1)
+            counts[good] = np.diff([a_bound, b_bound, group_bound, pair_bound], axis=1).T
+            said_size[good], pair_size[good] = np.diff(said_bound), np.diff(pair_bound)
+        return Parts(counts, said, np.append(0, np.cumsum(said_size)), pairs, np.append(0, np.cumsum(pair_size)))
+
+    def given_back(self, parts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> np.ndarray:
         """Numbers of the parts whose bytes both sides give back."""
         plain = [p.encode() for p in parts]
-        whole, size, same = b"".join(plain), list(map(len, plain)), True
-        for ids, table, length in ((a_ids, self.a_bytes, self.a_size), (b_ids, self.b_bytes, self.b_size)):
-            flat = np.array(list(chain.from_iterable(ids)), np.int64)
-            bound = np.cumsum([0, *map(len, ids)])
-            same = same and bool((ragged.text_sums(length[flat], bound) == size).all()) and b"".join(map(table.__getitem__, flat.tolist())) == whole
+        whole, size, same = np.frombuffer(b"".join(plain), np.uint8), np.array(list(map(len, plain))), True
+        for ids, table, at in ((a_ids, self.a_flat, self.a_at), (b_ids, self.b_flat, self.b_at)):
+            flat, bound = flattened(ids)
+            made, offset = ragged.gather(table, at[flat], at[flat + 1])
+            same = same and (np.diff(offset[bound]) == size).all() and (made == whole).all()
         if same:
-            return list(range(len(parts)))
-        return [i for i, p in enumerate(plain)
-                if b"".join(map(self.a_bytes.__getitem__, a_ids[i])) == p == b"".join(map(self.b_bytes.__getitem__, b_ids[i]))]
+            return np.arange(len(parts))
+        return np.array([i for i, p in enumerate(plain) if b"".join(map(self.a_bytes.__getitem__, a_ids[i])) == p == b"".join(map(self.b_bytes.__getitem__, b_ids[i]))], np.int64)
 
-    def written(self, a_flat: np.ndarray, b_flat: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, bound: np.ndarray) -> tuple[bytes, list[int]]:
+    def written(self, a_flat: np.ndarray, b_flat: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all groups in decimal, each with the sign that follows it, and where each part begins: `bound` counts its ids."""
         group = np.concatenate([a_group, b_group])
         order = np.argsort(group * 2 + np.repeat([0, 1], [len(a_flat), len(b_flat)]), kind="stable")
@@ -142,9 +194,9 @@ class Aligner:
         sign[:-1] = (left[:-1] & ~left[1:]) + 2 * (group[1:] != group[:-1])
         sign[-1] = 2
         flat, offset = ragged.gather(self.digits, self.digit_bound[ids * 3 + sign], self.digit_bound[ids * 3 + sign + 1])
-        return flat.tobytes(), offset[bound].tolist()
+        return flat, offset[bound]
 
-    def parts_of(self, texts: list[str]) -> tuple[list[Part], np.ndarray, np.ndarray]:
+    def parts_of(self, texts: list[str]) -> tuple[Parts, np.ndarray, np.ndarray]:
         """(different parts, number of the part at every place, bounds of the texts) of texts that each begin with a blank."""
         whole = "".join(texts)
         points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
@@ -154,15 +206,16 @@ class Aligner:
         begins[first[:-1]] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(points))
-        keys, where, code = ragged.distinct(ragged.piece_keys(points, start, end))
+        keys, where, code = np.unique(ragged.piece_keys(points, start, end), return_index=True, return_inverse=True)
         found = self.memo.find(keys)
-        new = [i for i, x in enumerate(found) if x is None]
-        if new:
+        new = np.flatnonzero(found < 0)
+        parts = self.memo.parts
+        if len(new):
             made = self.aligned([whole[start[p]:end[p]] for p in where[new].tolist()])
-            for i, x in zip(new, made, strict=True):
-                found[i] = x
-            self.memo.keep([keys[i] for i in new], made)
-        return found, code, np.searchsorted(start, first)
+            found[new] = len(parts.counts) + np.arange(len(new))
+            parts = parts.plus(made)
+            self.memo.keep(keys[new], made)
+        return parts, found[code], np.searchsorted(start, first)
 
     def slices(self, text: str, limit: int) -> Iterator[str]:
         """A text with the blank before it, in slices of about `limit` characters that end where both tokenizers end a token."""
@@ -195,25 +248,22 @@ class Aligner:
     def _take(self, held: list[tuple["Document", str]]) -> None:
         if not held:
             return
-        found, code, bound = self.parts_of([part for _, part in held])
-        counts = np.array([x.counts for x in found], np.int64)
-        # Pairs of every place, then the different ones of each text.
-        size = counts[:, 3]
-        flat, first = np.concatenate([x.pairs for x in found]), np.concatenate([[0], np.cumsum(size)])
-        pairs, offset = ragged.gather(flat, first[code], first[code + 1])
-        owner = np.repeat(np.arange(len(held)), np.diff(offset[bound]))
-        both, times = np.unique(owner << 40 | pairs, return_counts=True)
+        parts, code, bound = self.parts_of([part for _, part in held])
+        found = parts.taken(code)
+        # The different pairs of each text.
+        owner = np.repeat(np.arange(len(held)), np.diff(found.pair_bound[bound]))
+        both, times = np.unique(owner << 40 | found.pairs, return_counts=True)
         pair_bound = np.searchsorted(both, np.arange(len(held) + 1) << 40)
         pairs = both & ((1 << 40) - 1)
-        bad = ragged.text_sums((counts[:, 0] < 0)[code].astype(np.int64), bound)
-        sums = np.stack([ragged.text_sums(counts[:, c][code], bound) for c in range(4)], axis=1)
-        said, code, bound = [x.groups for x in found], code.tolist(), bound.tolist()
+        bad = ragged.text_sums((found.counts[:, 0] < 0).astype(np.int64), bound)
+        sums = np.stack([ragged.text_sums(found.counts[:, c], bound) for c in range(4)], axis=1)
+        said_bound = found.said_bound[bound].tolist()
         for k, (doc, _) in enumerate(held):
             if bad[k]:
                 doc.broken = True
             elif not doc.broken:
-                text = b";".join(map(said.__getitem__, code[bound[k]: bound[k + 1]]))
-                doc.add(sums[k], text, pairs[pair_bound[k]: pair_bound[k + 1]], times[pair_bound[k]: pair_bound[k + 1]])
+                a, b = pair_bound[k], pair_bound[k + 1]
+                doc.add(sums[k], found.said[said_bound[k]: said_bound[k + 1] - 1], pairs[a:b], times[a:b])
 
 
 class Document:
@@ -225,13 +275,14 @@ class Document:
         self.broken, self.counts, self.hash = False, np.zeros(4, np.int64), None
         self.pairs = self.times = np.zeros(0, np.int64)
 
-    def add(self, counts: np.ndarray, groups: bytes, pairs: np.ndarray, times: np.ndarray) -> None:
+    def add(self, counts: np.ndarray, groups: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> None:
         self.counts = self.counts + counts
         if self.hash is None:
             self.hash = hashlib.sha256(groups)
             self.pairs, self.times = pairs, times
         else:
-            self.hash.update(b";" + groups)
+            self.hash.update(b";")
+            self.hash.update(groups)
             self.pairs, at = np.unique(np.concatenate([self.pairs, pairs]), return_inverse=True)
             self.times = np.bincount(at, weights=np.concatenate([self.times, times])).astype(np.int64)
 
