@@ -1,9 +1,12 @@
 """Previous-row, as-of and rolling operators that never put a whole series in one task.
 
-Time is cut into slices that hold about the same number of rows. Windows run inside a slice; what a
-slice needs from earlier ones is its *edge*: one row per key and slice, found with a partial
-aggregate and carried forward over the few slices. A series that holds a third of all rows is so
-spread over many tasks, and results are exactly those of one long window.
+Rows are dealt out by range of (keys, time) and stored once with the number of their range. Windows run
+inside a range; what a range needs from earlier ones is its *edge*, one row per range, carried forward over the few ranges and
+sent to all tasks. A series that holds a third of all rows so lies in many ranges, the plan has the same
+size for any number of them, and results are exactly those of one long window.
+
+Spark samples the frame for the bounds of the ranges before it deals the rows out, so a frame that is costly
+to compute is best stored first.
 """
 
 from __future__ import annotations
@@ -13,68 +16,60 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICES = 32
+from govmill.session import shared_folder
+
 ROLLING_BLOCK = 4096
 MAD_TO_SIGMA = 1.4826
-BEFORE_ALL = -(2**63)
 
 
-def time_sliced(df: DataFrame, column: str, source: DataFrame, time: str, slices: int | None = None) -> DataFrame:
-    """Add ``_slice``: the slice of a time, with cut points at equal shares of the rows of ``source``.
+def in_ranges(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The rows in ranges of ``order``, stored, with ``_part``, the number of their range, and ``_tie``.
 
-    The cut points are a scalar subquery, so no job runs while a plan is built. There are as many
-    slices as shuffle partitions, ``SLICES`` at least. Null times have a slice of their own, null.
+    There are as many ranges as shuffle partitions. ``_tie`` is a hash of the row that makes the order total, so rows
+    with equal keys and times, nulls among them, can lie in several ranges. The number of a range is stored and never
+    computed again: later stages and repeated tasks all see the same one.
     """
-    n = slices or max(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / n for i in range(1, n)]
-    if not shares:
-        return df.withColumn("_slice", F.lit(0))
-    cuts = source.agg(F.percentile_approx(_micros(time), shares, 1000).alias("c")).scalar()
-    # A sum of comparisons: lambda expressions in join keys can mislead the optimizer's filter inference.
-    at = _micros(column)
-    number = reduce(Column.__add__, (
-        F.coalesce((at >= F.try_element_at("_cuts", F.lit(i + 1))).cast("int"), F.lit(0)) for i in range(len(shares))))
-    return df.withColumn("_cuts", cuts).withColumn("_slice", F.when(at.isNotNull(), number)).drop("_cuts")
-
+    spark = df.sparkSession
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    ranged = (df.withColumn("_tie", F.xxhash64(*hashed))
+              .repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *order, "_tie")
+              .withColumn("_part", F.spark_partition_id()))
+    path = f"{shared_folder(spark)}/ranges"
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
 
-def _micros(column: str) -> Column:
-    return F.unix_micros(F.col(column).cast("timestamp"))
 
+def _carry(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows with the edges carried to their range: one row per range, so they are sent to all tasks."""
+    return rows.join(F.broadcast(edges), "_part", "left")
 
-def _order(column: str) -> Column:
-    """Time as a number, nulls first, for aggregates that skip null orderings."""
-    return F.coalesce(_micros(column), F.lit(BEFORE_ALL))
 
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on keys, of which nulls equal nulls; the keys of ``right`` go."""
-    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    on = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys))
-    return left.join(named, on, how).drop(*(f"_right_{k}" for k in keys))
+def _alike(keys: Sequence[str], other: str) -> Column:
+    """Whether the keys in struct ``other`` are those of the row; nulls equal nulls."""
+    return reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(other)[k]) for k in keys), F.col(other).isNotNull())
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str],
-                 prefix: str = "Prev", slices: int | None = None) -> DataFrame:
+                 prefix: str = "Prev", parts: int | None = None) -> DataFrame:
     """Add ``prefix + value``: the values of the row before, per key, in time order.
 
-    ``time`` is unique per key. With no keys the whole frame is one series.
+    ``time`` is unique per key; rows with one key and time follow each other in the order of a hash. With no keys
+    the whole frame is one series. A row's predecessor in its range is the row before it if the keys agree; only the first row
+    of a range needs the edge, the last row of the nearest range before it that has rows.
     """
-    part = [*keys, "_slice"]
-    held = F.struct(*values)
-    sliced = time_sliced(df, time, df, time, slices)
-    in_slice = Window.partitionBy(*part).orderBy(time)
-    local = (sliced.withColumn("_local", F.lag(held).over(in_slice))
-             .withColumn("_first", F.row_number().over(in_slice) == 1))
-    edges = sliced.groupBy(*part).agg(F.max_by(held, _order(time)).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = edges.select(*part, F.lag("_edge").over(across).alias("_carried"))
+    order = [*keys, time, "_tie"]
+    ranged = in_ranges(df, [*keys, time], parts)
+    held, inside, across = F.struct(*dict.fromkeys([*keys, *values])), Window.partitionBy("_part").orderBy(*order), Window.orderBy("_part")
+    local = ranged.withColumn("_local", F.lag(held).over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
+    edges = ranged.groupBy("_part").agg(F.max_by(held, F.struct(*order)).alias("_edge"))
+    edges = edges.select("_part", F.lag("_edge").over(across).alias("_carried"))
     before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local"))
-    return (_same(local, carried, part, "left").withColumn("_before", before)
-            .select(*df.columns, *(F.col("_before")[v].alias(prefix + v) for v in values)))
+    return (_carry(local, edges).withColumn("_before", before)
+            .select(*df.columns, *(F.when(_alike(keys, "_before"), F.col("_before")[v]).alias(prefix + v) for v in values)))
 
 
 def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame, str, Sequence[str]]],
-              seconds: int, slices: int | None = None) -> DataFrame:
+              seconds: int, parts: int | None = None) -> DataFrame:
     """Every left row with the values of the newest row of each right frame at or before it.
 
     A right frame comes with its time column and the values wanted from it; its times are unique.
@@ -82,20 +77,19 @@ def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame,
     All frames are stacked in time order and the last row of each right frame is carried forward, so
     the work grows with rows, not with pairs of rows, and one shuffle serves all right frames.
     """
-    parts = [left.select(F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))]
+    stack = [left.select(F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))]
     held = [f"_r{i}" for i in range(len(rights))]
     for name, (right, time, values) in zip(held, rights):
-        parts.append(right.select(F.col(time).alias("_t"), F.lit(0).alias("_side"),
+        stack.append(right.select(F.col(time).alias("_t"), F.lit(0).alias("_side"),
                                   F.struct(F.col(time).alias("_at"), *values).alias(name)))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    sliced = time_sliced(stacked, "_t", stacked, "_t", slices)
-    in_slice = Window.partitionBy("_slice").orderBy("_t", "_side")
-    across = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    edges = sliced.groupBy("_slice").agg(*(F.max_by(h, F.when(F.col(h).isNotNull(), F.col("_t"))).alias(h) for h in held))
-    edges = edges.select("_slice", *(F.last(h, ignorenulls=True).over(across).alias(f"{h}_carried") for h in held))
-    local = sliced.withColumns({f"{h}_local": F.last(h, ignorenulls=True).over(in_slice) for h in held}).filter("_side = 1")
-    near = local.join(edges, "_slice", "left").select(
-        "_t", "_left", *(F.coalesce(f"{h}_local", f"{h}_carried").alias(h) for h in held))
+    order = ["_t", "_side", "_tie"]
+    ranged = in_ranges(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stack), ["_t", "_side"], parts)
+    inside = Window.partitionBy("_part").orderBy(*order)
+    across = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    edges = ranged.groupBy("_part").agg(*(F.max_by(h, F.when(F.col(h).isNotNull(), F.struct(*order))).alias(h) for h in held))
+    edges = edges.select("_part", *(F.last(h, ignorenulls=True).over(across).alias(f"{h}_carried") for h in held))
+    local = ranged.withColumns({f"{h}_local": F.last(h, ignorenulls=True).over(inside) for h in held}).filter("_side = 1")
+    near = _carry(local, edges).select("_t", "_left", *(F.coalesce(f"{h}_local", f"{h}_carried").alias(h) for h in held))
 
     def kept(name: str, value: str) -> Column:
         gap = F.unix_seconds(F.col("_t").cast("timestamp")) - F.unix_seconds(F.col(f"{name}._at").cast("timestamp"))
@@ -105,9 +99,9 @@ def asof_many(left: DataFrame, left_time: str, rights: Sequence[tuple[DataFrame,
 
 
 def asof_bounded(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
-                 values: Sequence[str], seconds: int, slices: int | None = None) -> DataFrame:
+                 values: Sequence[str], seconds: int, parts: int | None = None) -> DataFrame:
     """As-of join with one right frame; see :func:`asof_many`."""
-    return asof_many(left, left_time, [(right, right_time, values)], seconds, slices)
+    return asof_many(left, left_time, [(right, right_time, values)], seconds, parts)
 
 
 def asof_rank(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
@@ -132,16 +126,20 @@ def asof_rank(left: DataFrame, right: DataFrame, left_time: str, right_time: str
 
 
 def series_position(df: DataFrame, keys: Sequence[str], time: str, name: str = "position",
-                    slices: int | None = None) -> DataFrame:
-    """Number the rows of each series from zero in time order."""
-    part = [*keys, "_slice"]
-    sliced = time_sliced(df, time, df, time, slices)
-    across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (sliced.groupBy(*part).agg(F.count("*").alias("_n"))
-               .select(*part, F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_offset")))
-    in_slice = Window.partitionBy(*part).orderBy(time)
-    return (sliced.withColumn("_row", F.row_number().over(in_slice)).transform(lambda d: _same(d, offsets, part, "inner"))
-            .select(*df.columns, (F.col("_row") - 1 + F.col("_offset")).alias(name)))
+                    parts: int | None = None) -> DataFrame:
+    """Number the rows of each series from zero in time order.
+
+    A range's edge is its last key with the number of that key's rows up to there; only rows of that key go on in the next range.
+    """
+    order = [*keys, time, "_tie"]
+    ranged = in_ranges(df, [*keys, time], parts)
+    local = ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(time, "_tie")))
+    edges = local.groupBy("_part").agg(F.max_by(F.struct(*keys, "_row"), F.struct(*order)).alias("_last")).select("_part", "_last.*")
+    total = F.sum("_row").over(Window.partitionBy(*keys).orderBy("_part"))
+    edges = edges.withColumn("_total", total).select(
+        "_part", F.lag(F.struct(*keys, "_total")).over(Window.orderBy("_part")).alias("_carried"))
+    offset = F.when(_alike(keys, "_carried"), F.col("_carried._total")).otherwise(0)
+    return _carry(local, edges).select(*df.columns, (F.col("_row") - 1 + offset).alias(name))
 
 
 def anomaly_points(df: DataFrame, time: str, value: str, sensitivity: float, half_frame: int = 7,

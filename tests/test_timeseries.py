@@ -1,4 +1,4 @@
-"""Sliced windows against one long window, and as-of joins against brute force."""
+"""Windows in ranges against one long window, and as-of joins against brute force."""
 
 import datetime as dt
 import random
@@ -29,14 +29,16 @@ def test_previous_row_matches_lag(spark):
     for keys in ([], ["key"]):
         w = Window.partitionBy(*keys).orderBy("ts")
         want = df.select("*", F.lag("v").over(w).alias("Prevv"), F.lag("ts").over(w).alias("Prevts"))
-        for slices in (1, 2, 16):
-            assert rows(timeseries.previous_row(df, keys, "ts", ["v", "ts"], slices=slices)) == rows(want)
+        for parts in (1, 2, 16, 400):
+            assert rows(timeseries.previous_row(df, keys, "ts", ["v", "ts"], parts=parts)) == rows(want)
 
 
 def test_positions_are_dense(spark):
     df = series(spark)
     want = df.withColumn("position", (F.row_number().over(Window.partitionBy("key").orderBy("ts")) - 1).cast("bigint"))
-    assert rows(timeseries.series_position(df, ["key"], "ts", slices=8)) == rows(want)
+    assert rows(timeseries.series_position(df, ["key"], "ts", parts=8)) == rows(want)
+    alone = df.withColumn("position", (F.row_number().over(Window.orderBy("ts")) - 1).cast("bigint"))
+    assert rows(timeseries.series_position(df, [], "ts", parts=50)) == rows(alone)
 
 
 def brute_asof(left, right, seconds):
@@ -60,8 +62,8 @@ def test_asof_matches_brute_force(spark):
     l = spark.createDataFrame([(t,) for t in left], "t timestamp")
     r = spark.createDataFrame(right, "s timestamp, v int")
     want = brute_asof(left, right, 21600)
-    for slices in (1, 7, 32):
-        assert rows(timeseries.asof_bounded(l, r, "t", "s", ["v"], 21600, slices)) == want
+    for parts in (1, 7, 32, 400):
+        assert rows(timeseries.asof_bounded(l, r, "t", "s", ["v"], 21600, parts)) == want
     assert rows(timeseries.asof_rank(l.distinct(), r, "t", "s", ["v"], 21600)) == want
 
 
@@ -126,9 +128,38 @@ def test_null_keys_and_times_are_kept(spark):
     data = [(None if i % 3 == 0 else "k", None if i == 50 else START + dt.timedelta(seconds=i), i) for i in range(100)]
     df = spark.createDataFrame(data, "key string, ts timestamp, v int")
     w = Window.partitionBy("key").orderBy("ts")
-    assert rows(timeseries.previous_row(df, ["key"], "ts", ["v"], slices=8)) == rows(df.withColumn("Prevv", F.lag("v").over(w)))
+    assert rows(timeseries.previous_row(df, ["key"], "ts", ["v"], parts=8)) == rows(df.withColumn("Prevv", F.lag("v").over(w)))
     want = df.withColumn("position", (F.row_number().over(w) - 1).cast("bigint"))
-    assert rows(timeseries.series_position(df, ["key"], "ts", slices=8)) == rows(want)
+    assert rows(timeseries.series_position(df, ["key"], "ts", parts=8)) == rows(want)
     assert timeseries.anomaly_points(df, "ts", "v", 0.5).count() == 100
     left = df.select(F.col("ts").alias("t")).withColumn("x", F.lit(1))
     assert timeseries.asof_bounded(left, df.select("ts", "v"), "t", "ts", ["v"], 5).count() == 100
+
+
+def test_many_partitions_give_the_same_small_plan(spark, inputs):
+    """The number of ranges does not show in the plan; 4,000 shuffle partitions give the rows that four give."""
+    few = {"residency": rows(drift.residency_deltas(inputs.h_residency)), "catalog": rows(drift.catalog_deltas(inputs.h_catalog)),
+           "timeline": rows(drift.kpi_timeline(inputs.h_catalog, inputs.h_asset, inputs.h_residency)),
+           "anomalies": rows(timeseries.anomaly_points(inputs.h_catalog, "SnapshotUtc", "TotalAssets", 0.5))}
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (400, 4000):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            many = drift.residency_deltas(inputs.h_residency)
+            plan = many._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("\n") < 60 and plan.count("Relation [") <= 2
+            assert rows(many) == few["residency"]
+            assert rows(drift.catalog_deltas(inputs.h_catalog)) == few["catalog"]
+        assert rows(drift.kpi_timeline(inputs.h_catalog, inputs.h_asset, inputs.h_residency)) == few["timeline"]
+        assert rows(timeseries.anomaly_points(inputs.h_catalog, "SnapshotUtc", "TotalAssets", 0.5)) == few["anomalies"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def test_a_hot_key_lies_in_many_ranges(spark):
+    df = series(spark, n=4000)
+    ranged = timeseries.in_ranges(df, ["key", "ts"], 20)
+    sizes = [r["count"] for r in ranged.groupBy("_part").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 3 * 4000 / 20
+    same = timeseries.in_ranges(spark.range(4000).select(F.lit("k").alias("key"), F.lit(None).cast("timestamp").alias("ts"), "id"), ["key", "ts"], 20)
+    assert same.select("_part").distinct().count() >= 15
