@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from govmill.functions import fixed_values as V
@@ -14,27 +16,31 @@ def _change(now: Column, before: Column) -> Column:
     return F.try_divide((now - before).cast("double"), before.cast("double"))
 
 
-def catalog_deltas(history: DataFrame) -> DataFrame:
+#: Adds the values of the row before: over a whole history, or from what an earlier run kept (``upkeep.extend_deltas``).
+Previous = Callable[[DataFrame, Sequence[str], str, Sequence[str]], DataFrame]
+
+
+def catalog_deltas(history: DataFrame, previous: Previous = previous_row) -> DataFrame:
     h = history.select("SnapshotUtc", F.col("TotalAssets").cast("bigint"), "IsApproximate")
     now, before = F.col("TotalAssets"), F.col("PrevTotalAssets")
-    return previous_row(h, [], "SnapshotUtc", ["TotalAssets"]).select(
+    return previous(h, [], "SnapshotUtc", ["TotalAssets"]).select(
         "SnapshotUtc", "TotalAssets", "IsApproximate", "PrevTotalAssets",
         (now - before).alias("DeltaAssets"), _change(now, before).alias("DeltaPct"))
 
 
-def asset_count_deltas(history: DataFrame) -> DataFrame:
+def asset_count_deltas(history: DataFrame, previous: Previous = previous_row) -> DataFrame:
     h = history.select("SnapshotTS", "SnapshotDate", "DataProductName", F.col("TotalAssets").cast("bigint"))
     now, before = F.col("TotalAssets"), F.col("PrevTotalAssets")
-    return previous_row(h, ["DataProductName"], "SnapshotTS", ["TotalAssets"]).select(
+    return previous(h, ["DataProductName"], "SnapshotTS", ["TotalAssets"]).select(
         "SnapshotTS", "SnapshotDate", "DataProductName", "TotalAssets", before.alias("PrevAssets"),
         (now - before).alias("DeltaAssets"), _change(now, before).alias("DeltaPct"))
 
 
-def residency_deltas(history: DataFrame) -> DataFrame:
+def residency_deltas(history: DataFrame, previous: Previous = previous_row) -> DataFrame:
     """Region now and at the product's snapshot before. A change needs a region on both sides."""
     h = history.select(F.col("Snapshots").alias("SnapshotUtc"), "SnapshotDate", "DataProductID",
                        "DataProductDisplayName", "ResidencyRegion")
-    return previous_row(h, ["DataProductID"], "SnapshotUtc", ["SnapshotUtc", "ResidencyRegion"]).select(
+    return previous(h, ["DataProductID"], "SnapshotUtc", ["SnapshotUtc", "ResidencyRegion"]).select(
         "SnapshotUtc", "SnapshotDate", "DataProductID", "DataProductDisplayName", "PrevSnapshotUtc",
         "PrevResidencyRegion", "ResidencyRegion",
         is_true(F.col("ResidencyRegion") != F.col("PrevResidencyRegion")).alias("HasChanged"))

@@ -572,8 +572,23 @@ FROM g_visual v LEFT JOIN o_lineage l ON l.page_id = v.page_id GROUP BY v.page_i
 SELECT * FROM h_catalog
 
 -- view: drift_alert_stream
-SELECT 'assets:' || "key" AS "key", kind, prev, "value", pct, ts FROM o_alerts WHERE kind IN ('spike', 'drop') AND "key" <> 'catalog'
-UNION ALL SELECT 'region:' || "key", kind, prev, "value", pct, ts FROM o_alerts WHERE kind = 'RegionChanged'
+SELECT CASE WHEN kind NOT IN ('spike', 'drop') THEN 'region:' WHEN "key" = 'catalog' THEN '' ELSE 'assets:' END || "key" AS "key", kind, prev, "value", pct, ts
+FROM o_alerts
 
 -- view: drift_alerts
 SELECT * FROM o_alerts
+
+-- view: catalog_deltas_in_steps
+SELECT * FROM o_cat_deltas
+
+-- view: asset_count_deltas_in_steps
+SELECT * FROM o_asset_deltas
+
+-- view: residency_deltas_in_steps
+SELECT * FROM o_res_deltas
+
+-- view: asset_totals_in_steps
+SELECT * FROM o_asset_totals
+
+-- view: residency_totals_in_steps
+SELECT * FROM o_res_totals

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -10,7 +11,7 @@ from govmill.functions import columns as C
 from govmill.functions import fixed_values as V
 from govmill.functions.schemas import assert_exact_columns, conform_to_schema, typed_rows
 from govmill.inputs import ACTOR, PARENT_TERM, RUN_TS, SOURCE, TAG_REQUEST, Inputs
-from govmill.operators import checks, drift, evidence, gold, keyed, measures, owners, policy, reports, scores, text_jobs, timeseries
+from govmill.operators import checks, drift, evidence, gold, keyed, measures, owners, policy, reports, scores, text_jobs, timeseries, upkeep
 from govmill.plans import eligibility, residency_change, tag_change
 from govmill.session import shared_folder
 from govmill.sources import tables
@@ -881,12 +882,14 @@ def lineage_counts(d: Inputs) -> DataFrame:
 # Streams --------------------------------------------------------------------------------------
 
 def _series(d: Inputs) -> DataFrame:
-    """Totals of products and regions as one stream of keyed snapshots."""
+    """Totals of the catalog and of products, and regions, as one stream of keyed snapshots."""
+    catalog = d.h_catalog.select(F.lit("catalog").alias("key"), F.col("SnapshotUtc").cast("timestamp").alias("ts"),
+                                 F.col("TotalAssets").cast("bigint").alias("total"), F.lit(None).cast("string").alias("region"))
     totals = d.h_asset.select(F.concat(F.lit("assets:"), "DataProductName").alias("key"), F.col("SnapshotTS").cast("timestamp").alias("ts"),
                               F.col("TotalAssets").alias("total"), F.lit(None).cast("string").alias("region"))
     regions = d.h_residency.select(F.concat(F.lit("region:"), "DataProductID").alias("key"), F.col("Snapshots").cast("timestamp").alias("ts"),
                                    F.lit(None).cast("bigint").alias("total"), F.col("ResidencyRegion").alias("region"))
-    return totals.unionByName(regions)
+    return catalog.unionByName(totals).unionByName(regions)
 
 
 @query
@@ -896,23 +899,20 @@ def snapshot_ingest_stream(d: Inputs) -> DataFrame:
     for half in ("IsApproximate", "NOT IsApproximate", "IsApproximate"):
         d.h_catalog.filter(half).write.mode("append").parquet(f"{folder}/in")
     source = snapshots.snapshot_source(d.spark, f"{folder}/in", d.h_catalog.schema, files_per_batch=2)
-    snapshots.snapshot_ingest_stream(source, f"{folder}/history", f"{folder}/progress", ["SnapshotUtc"]).awaitTermination()
-    return d.spark.read.parquet(f"{folder}/history")
+    snapshots.snapshot_ingest_stream(source, f"{folder}/history", f"{folder}/progress", ["SnapshotUtc"], "SnapshotUtc").awaitTermination()
+    return snapshots.history(d.spark, f"{folder}/history", d.h_catalog.schema)
 
 
 @query
 def drift_alert_stream(d: Inputs) -> DataFrame:
-    """Two arrivals in time order, streamed; the state carries each key's last row across."""
+    """Three arrivals out of order, streamed: late rows are judged, and so are the rows after them."""
     folder = shared_folder(d.spark)
     series = _series(d)
-    middle = "timestamp'2024-01-16 00:00:00'"
-    stream = None
-    for part in (f"ts < {middle}", f"ts >= {middle}"):
-        series.filter(part).write.mode("append").parquet(f"{folder}/in")
+    for part in range(3):
+        series.filter(F.pmod(F.xxhash64("key", "ts"), F.lit(3)) == part).write.mode("append").parquet(f"{folder}/in")
         source = snapshots.snapshot_source(d.spark, f"{folder}/in", series.schema)
-        stream = snapshots.drift_alert_stream(source, f"{folder}/state", f"{folder}/alerts", f"{folder}/progress")
-        stream.awaitTermination()
-    return d.spark.read.schema(snapshots.ALERT_FIELDS).parquet(f"{folder}/alerts/batch=*")
+        snapshots.drift_alert_stream(source, f"{folder}/state", f"{folder}/alerts", f"{folder}/progress").awaitTermination()
+    return snapshots.current_alerts(d.spark, f"{folder}/state", f"{folder}/alerts")
 
 
 @query
@@ -920,5 +920,57 @@ def drift_alerts(d: Inputs) -> DataFrame:
     return drift.drift_alerts(d.h_catalog, d.h_asset, d.h_residency)
 
 
+# Derived tables kept up to date -----------------------------------------------------------------
+
+def _months(history: DataFrame, time: str) -> list[DataFrame]:
+    """A history in three arrivals, each newer than the one before."""
+    at = F.col(time).cast("timestamp")
+    cuts = [F.lit(x).cast("timestamp") for x in ("2024-01-11 00:00:00", "2024-01-21 00:00:00")]
+    return [history.filter(at < cuts[0]), history.filter((at >= cuts[0]) & (at < cuts[1])), history.filter(at >= cuts[1])]
+
+
+def _deltas_in_steps(d: Inputs, history: DataFrame, time: str, deltas: Callable[..., DataFrame]) -> DataFrame:
+    folder = shared_folder(d.spark)
+    steps = [deltas(new, partial(upkeep.extend_deltas, folder=folder, run=i)) for i, new in enumerate(_months(history, time))]
+    return reduce(DataFrame.unionByName, steps)
+
+
+def _totals_in_steps(d: Inputs, history: DataFrame, time: str, totals: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Arrivals that split days between them: each run builds only the days it touches."""
+    folder, day = shared_folder(d.spark), "HistoryDay"
+    schema = T.StructType([*history.schema.fields, T.StructField(day, T.DateType()), T.StructField("run", T.IntegerType())])
+    for i in range(2):
+        new = history.filter(F.pmod(F.xxhash64(*history.columns), F.lit(2)) == i)
+        days = upkeep.append_days(new, f"{folder}/history", time, day, i)
+        stored = d.spark.read.schema(schema).parquet(f"{folder}/history")
+        upkeep.refresh_days(stored, days, day, totals, "SnapUtc", f"{folder}/totals")
+    return upkeep.read_days(d.spark, f"{folder}/totals", day)
+
+
+@query
+def catalog_deltas_in_steps(d: Inputs) -> DataFrame:
+    return _deltas_in_steps(d, d.h_catalog, "SnapshotUtc", drift.catalog_deltas)
+
+
+@query
+def asset_count_deltas_in_steps(d: Inputs) -> DataFrame:
+    return _deltas_in_steps(d, d.h_asset, "SnapshotTS", drift.asset_count_deltas)
+
+
+@query
+def residency_deltas_in_steps(d: Inputs) -> DataFrame:
+    return _deltas_in_steps(d, d.h_residency, "Snapshots", drift.residency_deltas)
+
+
+@query
+def asset_totals_in_steps(d: Inputs) -> DataFrame:
+    return _totals_in_steps(d, d.h_asset, "SnapshotTS", drift.asset_totals_by_snapshot)
+
+
+@query
+def residency_totals_in_steps(d: Inputs) -> DataFrame:
+    return _totals_in_steps(d, d.h_residency, "Snapshots", drift.residency_totals_by_snapshot)
+
+
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(QUERIES[key](Inputs(spark, sf_dir)))
