@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -149,28 +150,35 @@ _TOKEN = r'("(?:[^"\\]++|\\.)*+"\s*+:?|-?\d++(?:\.\d++)?(?:[eE][+-]?\d++)?|\btru
 _QUOTINGS = 31  # Each quoting of a document doubles its backslashes, so no text of up to 2^31 bytes holds more.
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def sum_nested_counts(text: Column) -> Column:
     """Sum the whole-number leaves of JSON of any depth, as a bigint.
 
     Works on the scalar tokens of a document, so nesting needs no recursion: keys end with a colon and count nothing, ``true``
     counts one and fractions are cut. A string counts as what its trimmed text is as JSON: a number, a truth value, or a document,
-    which is opened in the next round, until no quoted document is left. Null, blank and plain words give null; an
-    empty container gives zero.
+    which is opened in the next round, until no quoted document is left; most texts need one round. Null, blank and plain words
+    give null; an empty container gives zero.
     """
-    trimmed = F.trim(text)
-    top = _content(trimmed)
-    docs = F.when(top["doc"].isNotNull(), F.array(top["doc"])).otherwise(F.array().cast("array<string>"))
+    def open_docs(docs: Column, total: Column) -> Column:
+        found = F.flatten(F.transform(docs, lambda d: F.transform(F.regexp_extract_all(d, F.lit(_TOKEN), F.lit(1)), _token)))
+        return bind(found, lambda f: F.struct(
+            F.aggregate(f, total, lambda acc, v: acc + F.coalesce(v["n"], F.lit(0).cast("bigint"))).alias("total"),
+            F.transform(F.filter(f, lambda v: v["doc"].isNotNull()), lambda v: v["doc"]).alias("docs")))
+
+    def further(first: Column) -> Column:
+        rounds = F.sequence(F.lit(2), F.lit(_QUOTINGS))
+        step = F.aggregate(rounds, first, lambda state, _: F.when(F.size(state["docs"]) == 0, state).otherwise(
+            open_docs(state["docs"], state["total"])), lambda state: state["total"])
+        return F.when(F.size(first["docs"]) == 0, first["total"]).otherwise(step)
 
-    def open_next(state: Column, _: Column) -> Column:
-        found = F.flatten(F.transform(state["docs"], lambda d: F.transform(
-            F.regexp_extract_all(d, F.lit(_TOKEN), F.lit(1)), _token)))
-        total = F.aggregate(found, state["total"], lambda acc, v: acc + F.coalesce(v["n"], F.lit(0).cast("bigint")))
-        inner = F.transform(F.filter(found, lambda v: v["doc"].isNotNull()), lambda v: v["doc"])
-        return F.struct(total.alias("total"), inner.alias("docs"))
+    def whole(top: Column) -> Column:
+        return F.when(top["doc"].isNotNull(), bind(open_docs(F.array(top["doc"]), F.lit(0).cast("bigint")), further)).otherwise(top["n"])
 
-    start = F.struct(F.lit(0).cast("bigint").alias("total"), docs.alias("docs"))
-    summed = F.aggregate(F.sequence(F.lit(1), F.lit(_QUOTINGS)), start, open_next, lambda state: state["total"])
-    return F.when(top["doc"].isNotNull(), summed).otherwise(top["n"])
+    return bind(F.trim(text), lambda s: bind(_content(s), whole))
 
 
 def _counted(n: Column | None = None, doc: Column | None = None) -> Column:
@@ -184,21 +192,24 @@ def _whole(number: Column) -> Column:
 
 def _content(s: Column) -> Column:
     """What the trimmed text of a string counts: a number, or a document to open; both null for words."""
-    parsed = F.try_parse_json(s)
-    inner = F.trim(F.try_variant_get(parsed, "$", "string"))
-    return ladder(
-        (s.rlike(r"^-?[0-9]+$"), _counted(_whole(s))),
-        (parsed.isNull(), _counted()),
-        (s.rlike(r"^[\[{]"), _counted(doc=s)),
-        (s.rlike("^-?[0-9]"), _counted(_whole(s))),
-        (s.isin("true", "false"), _counted((s == "true").cast("bigint"))),
-        (s.startswith('"') & inner.rlike(r"^-?[0-9]+$"), _counted(_whole(inner))),
-        otherwise=_counted())
+    def judged(parsed: Column) -> Column:
+        return ladder(
+            (parsed.isNull(), _counted()),
+            (s.rlike(r"^[\[{]"), _counted(doc=s)),
+            (s.rlike("^-?[0-9]"), _counted(_whole(s))),
+            (s.isin("true", "false"), _counted((s == "true").cast("bigint"))),
+            (s.startswith('"'), bind(F.trim(F.try_variant_get(parsed, "$", "string")), lambda inner: F.when(
+                inner.rlike(r"^-?[0-9]+$"), _counted(_whole(inner))).otherwise(_counted()))),
+            otherwise=_counted())
+
+    # Only texts that begin like JSON are parsed.
+    return ladder((s.rlike(r"^-?[0-9]+$"), _counted(_whole(s))),
+                  (s.rlike(r'^[-0-9\[{"tf]'), bind(F.try_parse_json(s), judged)), otherwise=_counted())
 
 
 def _token(token: Column) -> Column:
     return ladder(
-        (token.endswith(":"), _counted()),
+        (token.endswith(":") | token.rlike(r'^" *+[^-0-9\[{tf\\" ]'), _counted()),
         (token == "true", _counted(F.lit(1))),
-        (token.startswith('"'), _content(F.trim(F.try_variant_get(F.try_parse_json(token), "$", "string")))),
+        (token.startswith('"'), bind(F.trim(F.try_variant_get(F.try_parse_json(token), "$", "string")), _content)),
         otherwise=_counted(_whole(token)))

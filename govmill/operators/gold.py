@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from govmill.functions import fixed_values as V
 from govmill.functions.columns import contains_any, normalise_id
 from govmill.operators.keyed import first_per_key
+from govmill.session import stored
 
 
 def gold_residency(product: DataFrame, assignment: DataFrame, term: DataFrame, parent_id: str) -> DataFrame:
@@ -39,25 +40,24 @@ def gold_asset_counts(product: DataFrame, product_asset: DataFrame, asset: DataF
 
 def fullname_columns(product_asset: DataFrame, asset_column: DataFrame, column_class: DataFrame,
                      classification: DataFrame, target: str) -> DataFrame:
-    """Distinct columns of the target class per raw product id.
+    """Distinct columns of the target class per raw product id. Every input is read once.
 
-    The target class is applied first, so only its columns travel. A column that sits in one asset
-    is counted in that asset, and products add up asset counts; only columns shared by several
-    assets need distinct (product, column) pairs.
+    The target class is applied first, so only its columns travel; they are stored, as they are used twice. A column that sits in one asset is counted in that
+    asset, and a product adds up the counts of its assets; only columns shared by several assets go on by themselves. Both
+    kinds are rows of one frame, an asset's own columns as one row with their number, so assignments are joined once
+    and a product counts each row once, however often it has the asset.
     """
     wanted = classification.filter(F.col("ClassificationDisplayName") == target).select("ClassificationId")
     marked = column_class.join(wanted, "ClassificationId", "left_semi").select("DataAssetId", "ColumnId").distinct()
-    hits = asset_column.join(marked, ["DataAssetId", "ColumnId"]).select("DataAssetId", "ColumnId")
-    spread = hits.groupBy("ColumnId").agg(F.min("DataAssetId").alias("_lo"), F.max("DataAssetId").alias("_hi"))
-    own = spread.filter("_lo = _hi").groupBy(F.col("_lo").alias("DataAssetId")).agg(F.count("*").alias("n"))
-    shared = hits.join(spread.filter("_lo <> _hi").select("ColumnId"), "ColumnId", "left_semi")
-    # Assignments are made distinct after the join, when only assets with hits are left.
-    links = product_asset.select("DataProductId", "DataAssetId")
-    counted = links.join(own, "DataAssetId").distinct().select("DataProductId", "n")
-    crossing = (links.join(shared, "DataAssetId").select("DataProductId", "ColumnId").distinct()
-                .groupBy("DataProductId").agg(F.count("*").alias("n")))
-    return (counted.unionByName(crossing).groupBy("DataProductId")
-            .agg(F.sum("n").alias("FullNameColumnCount")))
+    hits = stored(asset_column.join(marked, ["DataAssetId", "ColumnId"]).select("DataAssetId", "ColumnId").distinct())
+    shared = hits.groupBy("ColumnId").agg(F.min("DataAssetId").alias("_lo"), F.max("DataAssetId").alias("_hi")).filter("_lo < _hi")
+    parts = (hits.join(shared.select("ColumnId", F.col("ColumnId").alias("_column")), "ColumnId", "left")
+             .groupBy("DataAssetId", "_column").agg(F.count("*").alias("n")))
+    part = F.when(F.col("_column").isNotNull(), F.struct(F.lit(1).alias("kind"), F.col("_column").alias("id"))).otherwise(
+        F.struct(F.lit(0).alias("kind"), F.col("DataAssetId").alias("id")))
+    held = (product_asset.select("DataProductId", "DataAssetId").join(parts, "DataAssetId")
+            .groupBy("DataProductId", part.alias("_part")).agg(F.max(F.when(F.col("_column").isNull(), F.col("n")).otherwise(1)).alias("n")))
+    return held.groupBy("DataProductId").agg(F.sum("n").alias("FullNameColumnCount"))
 
 
 def fullname_classification(product: DataFrame, product_asset: DataFrame, asset_column: DataFrame,

@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from govmill.session import shared_folder
+from govmill.session import stored
 
 ROLLING_BLOCK = 4096
 MAD_TO_SIGMA = 1.4826
@@ -34,9 +34,7 @@ def in_ranges(df: DataFrame, order: Sequence[str], parts: int | None = None) ->
     ranged = (df.withColumn("_tie", F.xxhash64(*hashed))
               .repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *order, "_tie")
               .withColumn("_part", F.spark_partition_id()))
-    path = f"{shared_folder(spark)}/ranges"
-    ranged.write.parquet(path)
-    return spark.read.schema(ranged.schema).parquet(path)
+    return stored(ranged)
 
 
 def _carry(rows: DataFrame, edges: DataFrame) -> DataFrame:
