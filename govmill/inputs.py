@@ -42,6 +42,8 @@ class Inputs:
             path = f"{shared_folder(self.spark)}/{name}"
             getattr(self, name).write.parquet(path)
             self._stored[name] = self.spark.read.parquet(path)
+            # What is built from it later on reads the table as well.
+            self.__dict__[name] = self._stored[name]
         return self._stored[name]
 
     def database(self) -> str:
@@ -85,44 +87,47 @@ class Inputs:
         return self.residency_from(gold.applicability(gold.categorise_products(self.dimension).withColumn(
             "HasFullNameClassification", F.lit(0))))
 
-    def residency_from(self, base: DataFrame) -> DataFrame:
-        return scores.score_residency(base, self.resource, self.bucket, self.approved_region, RUN_TS)
+    def residency_from(self, base: DataFrame, found: DataFrame | None = None) -> DataFrame:
+        return scores.score_residency(base, self.resource, self.bucket, self.approved_region, RUN_TS, found)
 
-    def tag_from(self, base: DataFrame) -> DataFrame:
-        return scores.score_tag(base, self.resource, RUN_TS)
-
-    def cc_from(self, base: DataFrame) -> DataFrame:
-        return scores.score_cc(base, self.resource, self.patch, self.sku, RUN_TS)
+    @cached_property
+    def all_found(self) -> DataFrame:
+        """Evidence of all domains, from one pass over the resources."""
+        return evidence.product_evidence(self.resource, self.pricing, self.assessment, self.alert)
 
-    def defender_from(self, base: DataFrame) -> DataFrame:
-        return scores.score_defender(base, self.resource, self.pricing, self.assessment, self.alert, RUN_TS)
+    def known_evidence(self) -> DataFrame | None:
+        """The stored evidence, where a job has asked for that of all domains; a single scorecard gathers its own."""
+        return self._stored.get("all_found")
 
     @cached_property
     def cc(self) -> DataFrame:
-        return self.cc_from(self.stored("base"))
+        return scores.score_cc(self.stored("base"), self.resource, self.patch, self.sku, RUN_TS, found=self.known_evidence())
 
     @cached_property
     def tag(self) -> DataFrame:
-        return self.tag_from(self.stored("base"))
+        return scores.score_tag(self.stored("base"), self.resource, RUN_TS, found=self.known_evidence())
 
     @cached_property
     def defender(self) -> DataFrame:
-        return self.defender_from(self.stored("base"))
+        return scores.score_defender(self.stored("base"), self.resource, self.pricing, self.assessment, self.alert, RUN_TS)
 
     @cached_property
-    def judged(self) -> DataFrame:
-        return scores.judged_resources(self.stored("base"), self.resource, self.pricing, self.assessment, self.alert)
+    def protection(self) -> DataFrame:
+        """Protection counts per product."""
+        return self.stored("all_found").select("DataProductId", "protection.*")
 
     @cached_property
     def defender_points(self) -> DataFrame:
         """The threat-protection card without audit texts, for jobs that only read scores."""
-        points = scores.defender_points(scores.defender_evidence(self.stored("base"), self.judged), RUN_TS)
+        points = scores.defender_points(scores.defender_evidence(self.stored("base"), self.protection), RUN_TS)
         return points.withColumnRenamed("DataProductId", "dataProductId")
 
     @cached_property
     def summary(self) -> DataFrame:
-        return scores.compliance_summary(self.gold, self.residency_from(self.stored("base")), self.cc,
-                                         self.defender_points, self.tag)
+        """All scorecards from the stored base and one stored table of evidence."""
+        for name in ("gold", "base", "all_found"):
+            self.stored(name)
+        return scores.compliance_summary(self.gold, self.residency_from(self.base, self.all_found), self.cc, self.defender_points, self.tag)
 
     @cached_property
     def eligibility(self) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from govmill.functions import fixed_values as V
 from govmill.functions.columns import (
@@ -19,6 +19,7 @@ from govmill.functions.columns import (
 )
 from govmill.functions.schemas import resolve_columns
 from govmill.operators.keyed import first_per_key, sample_per_key
+from govmill.session import stored
 
 _PROPERTIES = (
     "hardwareProfile struct<vmSize:string>, securityProfile struct<securityType:string>, "
@@ -113,12 +114,54 @@ def resource_rollup(resource: DataFrame) -> DataFrame:
 
     Places and ids are made distinct before they are gathered, so a product's list holds each once.
     """
-    r = tagged(resource).select("DataProductId", normalise_code(F.col("Location")).alias("loc"),
-                                clean(F.col("ResourceId")).alias("rid"))
-    return r.groupBy("DataProductId").agg(
-        F.lit(True).alias("AzureResourceFound"), F.count("*").cast("int").alias("AzureResourceCount"),
-        joined(F.collect_set("loc")).alias("AzureLocations"),
-        joined(F.collect_set("rid")).alias("AzureResourceIds"))
+    return tagged(resource).groupBy("DataProductId").agg(*_place_columns())
+
+
+def _place_columns() -> list[Column]:
+    return [F.lit(True).alias("AzureResourceFound"), F.count("*").cast("int").alias("AzureResourceCount"),
+            joined(F.collect_set(normalise_code(F.col("Location")))).alias("AzureLocations"),
+            joined(F.collect_set(clean(F.col("ResourceId")))).alias("AzureResourceIds")]
+
+
+#: What the confidential-compute check reads of a product's chosen resource, after the order that chooses it.
+_CHOSEN = ("ResourceId", "ResourceType", "SubscriptionId", "ResourceGroup", "Location", "ArmError", "VmSize", "SecurityType", "ArcModel", "LinkedVmId")
+_TAG = ("ResourceId", "ResourceType", "SubscriptionId", "ResourceGroup", "Location")
+
+
+def governed_tag(name: str) -> Column:
+    return normalise_code(tag_value(F.col("Tags"), (name,)))
+
+
+def product_evidence(resource: DataFrame, pricing: DataFrame | None = None, assessment: DataFrame | None = None,
+                     alert: DataFrame | None = None, variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG) -> DataFrame:
+    """Evidence of all domains, one row per product, from one pass over the resources.
+
+    ``tag`` and ``chosen`` are the resources that the tag and the confidential-compute check look at, among those that name the product in
+    one of ``variants``; ``place`` and, with the three security frames, ``protection`` cover all spellings. Store the result:
+    each scorecard reads its own column of it.
+    """
+    if tuple(V.PRODUCT_TAGS[: len(variants)]) != tuple(variants):
+        raise ValueError("the spellings of the tag checks must come first among all spellings")
+    r = extract_properties(_with_error(tagged(resource)))
+    # The spellings come in this order, so a resource with one of the first has the same product by either list.
+    r = r.withColumn("_own", is_true(F.trim(tag_value(F.col("Tags"), tuple(variants))) != ""))
+    r = r.withColumn("vmApplicable", is_compute(F.col("ResourceType")))
+    parts = [F.struct(*_place_columns()).alias("place"),
+             F.min(F.when(F.col("_own"), F.struct(*_TAG, governed_tag(V.ZONE_TAG).alias("SovereigntyZone"), governed_tag(V.ORIGIN_TAG).alias("ResourceOrigin")))).alias("tag"),
+             F.min(F.when(F.col("_own"), F.struct((~F.col("vmApplicable")).alias("_other"), *_CHOSEN))).alias("chosen")]
+    if pricing is not None:
+        r = _judged(r, pricing, assessment, alert)
+        parts.append(F.struct(*_protection_columns()).alias("protection"))
+    return r.groupBy("DataProductId").agg(*parts)
+
+
+def chosen_resources(found: DataFrame) -> DataFrame:
+    """The chosen resource of each product in :func:`product_evidence`."""
+    return found.filter("chosen IS NOT NULL").select("DataProductId", "chosen.*").withColumn("vmApplicable", ~F.col("_other")).drop("_other")
+
+
+def _with_error(resource: DataFrame) -> DataFrame:
+    return resource if "ArmError" in resource.columns else resource.withColumn("ArmError", F.lit(None).cast("string"))
 
 
 def override_join(primary: DataFrame, fallback: DataFrame, key: str) -> DataFrame:
@@ -135,10 +178,9 @@ def bucket_places(bucket: DataFrame) -> DataFrame:
     return first_per_key(places, ["bucketName"], ["bucketPlace"])
 
 
-def residency_evidence(base: DataFrame, resource: DataFrame, bucket: DataFrame) -> DataFrame:
-    """Place evidence for every product: resources first, a bucket where there is no resource."""
-    found = base.select("DataProductId", "DataProductDisplayName", "IsS3").join(
-        resource_rollup(resource), "DataProductId", "left")
+def residency_evidence(base: DataFrame, places: DataFrame, bucket: DataFrame) -> DataFrame:
+    """Place evidence for every product: resources (:func:`resource_rollup`) first, a bucket where there is no resource."""
+    found = base.select("DataProductId", "DataProductDisplayName", "IsS3").join(places, "DataProductId", "left")
     buckets = bucket_places(bucket)
     full = found.join(
         buckets, (found["DataProductDisplayName"] == buckets["bucketName"]) & found["IsS3"]
@@ -220,32 +262,36 @@ def patch_lookup(chosen: DataFrame, patch: DataFrame) -> DataFrame:
     kind = normalise_id(F.col("ResourceType"))
     target = F.lower(F.when(kind.isin(V.VM_TYPE, V.ARC_TYPE), clean(F.col("ResourceId")))
                      .when(kind == V.SQLVM_TYPE, F.col("LinkedVmId")))
-    reports = first_per_key(
-        patch.select(F.lower("assessment_id").alias("_aid"),
-                     F.coalesce("startDateTime", "lastModifiedDateTime").alias("LastUpdateScanUtc"),
-                     sum_nested_counts(F.col("counts_json")).alias("PendingUpdatesTotal")),
-        ["_aid"], [F.desc("LastUpdateScanUtc"), "PendingUpdatesTotal"])
     # Products without a target keep a join key of their own, so they do not meet in one task.
     wanted = chosen.select("DataProductId", target.isNotNull().alias("_has_target"), F.coalesce(
         F.lower(assessment_id(target)), F.concat(F.lit("none:"), "DataProductId")).alias("_target"))
-    return wanted.join(reports, F.col("_target") == F.col("_aid"), "left").select(
+    reports = patch.select(F.lower("assessment_id").alias("_aid"), "counts_json",
+                           F.coalesce("startDateTime", "lastModifiedDateTime").alias("LastUpdateScanUtc"))
+    # Only reports that a product asks for are counted.
+    asked = wanted.join(reports, F.col("_target") == F.col("_aid"), "left").withColumn(
+        "PendingUpdatesTotal", sum_nested_counts(F.col("counts_json")))
+    return first_per_key(asked, ["DataProductId"], [F.desc("LastUpdateScanUtc"), "PendingUpdatesTotal"]).select(
         "DataProductId", "LastUpdateScanUtc", "PendingUpdatesTotal",
         ladder((F.col("_aid").isNotNull(), F.lit(V.PATCH_ASSESSED)),
                (F.col("_has_target"), F.lit(V.PATCH_NO_DATA))).alias("PatchAssessmentStatus"))
 
 
 def cc_evidence(resource: DataFrame, patch: DataFrame, products: DataFrame | None = None,
-                variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG) -> DataFrame:
+                variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG, found: DataFrame | None = None) -> DataFrame:
     """Confidential-compute evidence, one row per product.
 
-    ``products`` limits the work to some product ids before any resource is chosen.
+    ``products`` limits the work to some product ids before any resource is looked up; ``found`` is the
+    stored :func:`product_evidence`, without which the resources are chosen here.
     """
-    if "ArmError" not in resource.columns:
-        resource = resource.withColumn("ArmError", F.lit(None).cast("string"))
-    mine = tagged(resource, variants)
+    resource = _with_error(resource)
+    if found is None:
+        chosen = extract_properties(prefer_applicable_resource(tagged(resource, variants), variants))
+    else:
+        chosen = chosen_resources(found)
     if products is not None:
-        mine = mine.join(products.select("DataProductId"), "DataProductId", "left_semi")
-    chosen = extract_properties(prefer_applicable_resource(mine, variants))
+        chosen = chosen.join(products.select("DataProductId"), "DataProductId", "left_semi")
+    # One row per product, read three times below.
+    chosen = stored(chosen)
     linked = linked_vm_lookup(chosen, resource)
     kind = resource_kind(F.col("ResourceType"))
     full = (chosen.join(linked, "ResourceId", "left").join(patch_lookup(chosen, patch), "DataProductId", "left")
@@ -315,11 +361,15 @@ def pricing_map(pricing: DataFrame) -> DataFrame:
 
 def defender_resources(resource: DataFrame, pricing: DataFrame, assessment: DataFrame, alert: DataFrame) -> DataFrame:
     """Per resource: can a plan cover it, is one switched on, is it running, how many alerts."""
+    return _judged(tagged(resource), pricing, assessment, alert)
+
+
+def _judged(named: DataFrame, pricing: DataFrame, assessment: DataFrame, alert: DataFrame) -> DataFrame:
     standard = pricing_map(pricing).filter(F.lower("tier") == "standard").groupBy("SubscriptionId").agg(
         F.collect_set("plan").alias("_on"))
     checks = assessment_counts(assessment).select("resource_id", "total", "unhealthy")
     alerts = active_high_alerts(alert).groupBy("resource_id").agg(F.count("*").alias("highActive"))
-    r = (tagged(resource).withColumn("plans", defender_candidate_plans(F.col("ResourceType")))
+    r = (named.withColumn("plans", defender_candidate_plans(F.col("ResourceType")))
          .withColumn("isApplicable", F.size("plans") > 0)
          .withColumn("resource_id", F.lower(F.trim("ResourceId"))))
     return (r.join(standard, "SubscriptionId", "left").join(checks, "resource_id", "left")
@@ -338,12 +388,15 @@ def defender_rollup(resource: DataFrame, pricing: DataFrame, assessment: DataFra
 
 def rollup_resources(judged: DataFrame) -> DataFrame:
     """Product counts from judged resources (:func:`defender_resources`)."""
-    return judged.groupBy("DataProductId").agg(
-        F.count_if("isApplicable").cast("int").alias("applicableResourceCount"),
-        F.count_if("isConfigured").cast("int").alias("configuredResourceCount"),
-        F.count_if("isRunning").cast("int").alias("runningResourceCount"),
-        F.coalesce(F.sum("highActive"), F.lit(0)).cast("int").alias("highActiveAlertCount"),
-        is_true(F.bool_or(F.col("unhealthy") > 0)).alias("hasUnhealthyAssessments"))
+    return judged.groupBy("DataProductId").agg(*_protection_columns())
+
+
+def _protection_columns() -> list[Column]:
+    return [F.count_if("isApplicable").cast("int").alias("applicableResourceCount"),
+            F.count_if("isConfigured").cast("int").alias("configuredResourceCount"),
+            F.count_if("isRunning").cast("int").alias("runningResourceCount"),
+            F.coalesce(F.sum("highActive"), F.lit(0)).cast("int").alias("highActiveAlertCount"),
+            is_true(F.bool_or(F.col("unhealthy") > 0)).alias("hasUnhealthyAssessments")]
 
 
 def defender_audit_json(resource: DataFrame, pricing: DataFrame, assessment: DataFrame, alert: DataFrame) -> DataFrame:

@@ -42,13 +42,14 @@ def fullname_columns(product_asset: DataFrame, asset_column: DataFrame, column_c
                      classification: DataFrame, target: str) -> DataFrame:
     """Distinct columns of the target class per raw product id. Every input is read once.
 
-    The target class is applied first, so only its columns travel; they are stored, as they are used twice. A column that sits in one asset is counted in that
+    The target class is applied first, so only its columns travel. They are stored, so their size is known where the large tables
+    meet them, and these need no exchange while it is small. A column that sits in one asset is counted in that
     asset, and a product adds up the counts of its assets; only columns shared by several assets go on by themselves. Both
     kinds are rows of one frame, an asset's own columns as one row with their number, so assignments are joined once
     and a product counts each row once, however often it has the asset.
     """
     wanted = classification.filter(F.col("ClassificationDisplayName") == target).select("ClassificationId")
-    marked = column_class.join(wanted, "ClassificationId", "left_semi").select("DataAssetId", "ColumnId").distinct()
+    marked = stored(column_class.join(wanted, "ClassificationId", "left_semi").select("DataAssetId", "ColumnId").distinct())
     hits = stored(asset_column.join(marked, ["DataAssetId", "ColumnId"]).select("DataAssetId", "ColumnId").distinct())
     shared = hits.groupBy("ColumnId").agg(F.min("DataAssetId").alias("_lo"), F.max("DataAssetId").alias("_hi")).filter("_lo < _hi")
     parts = (hits.join(shared.select("ColumnId", F.col("ColumnId").alias("_column")), "ColumnId", "left")

@@ -17,10 +17,11 @@ from govmill.functions.columns import (
 )
 from govmill.functions.schemas import assert_exact_columns
 from govmill.operators.evidence import (
-    approved_region_lookup, audit_resources, cc_evidence, defender_resources, residency_evidence,
-    rollup_resources, sku_lookup, tagged,
+    approved_region_lookup, audit_resources, cc_evidence, defender_resources, governed_tag, residency_evidence,
+    resource_rollup, rollup_resources, sku_lookup, tagged,
 )
 from govmill.operators.keyed import first_per_key
+from govmill.session import stored
 
 
 def _stamp(run_ts: str) -> Column:
@@ -31,20 +32,26 @@ def tag_evidence(resource: DataFrame, variants: Sequence[str] = V.PRIMARY_PRODUC
     """One resource per product, the smallest id, with its two governed tags."""
     one = first_per_key(tagged(resource, variants), ["DataProductId"], ["ResourceId"])
 
-    def tag(name: str) -> Column:
-        return normalise_code(tag_value(F.col("Tags"), (name,)))
+    return _tag_columns(one.withColumn("SovereigntyZone", governed_tag(V.ZONE_TAG)).withColumn("ResourceOrigin", governed_tag(V.ORIGIN_TAG)))
 
+
+def _tag_columns(one: DataFrame) -> DataFrame:
     return one.select(
         "DataProductId", F.lit(True).alias("resourceFound"), F.col("ResourceId").alias("resourceId"), "ResourceType",
         "SubscriptionId", "ResourceGroup", normalise_id(F.col("Location")).alias("Location"),
-        tag(V.ZONE_TAG).alias("SovereigntyZone"), tag(V.ORIGIN_TAG).alias("ResourceOrigin"))
+        "SovereigntyZone", "ResourceOrigin")
 
 
 def score_tag(base: DataFrame, resource: DataFrame, run_ts: str,
-              variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG) -> DataFrame:
-    """Tag scorecard: five parts of 20 points each."""
-    checked = tag_evidence(resource, variants).join(base.filter("TagApplicable").select("DataProductId"), "DataProductId", "left_semi")
-    df = base.join(checked, "DataProductId", "left").withColumn("resourceFound", is_true(F.col("resourceFound")))
+              variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG, found: DataFrame | None = None) -> DataFrame:
+    """Tag scorecard: five parts of 20 points each. ``found`` is the stored ``product_evidence``, where there is one."""
+    if found is None:
+        evidence = tag_evidence(resource, variants)
+    else:
+        evidence = _tag_columns(found.filter("tag IS NOT NULL").select("DataProductId", "tag.*"))
+    held = [c for c in evidence.columns if c != "DataProductId"]
+    df = base.join(evidence, "DataProductId", "left").withColumns({c: F.when(F.col("TagApplicable"), F.col(c)) for c in held})
+    df = df.withColumn("resourceFound", is_true(F.col("resourceFound")))
     zone, origin = F.col("SovereigntyZone"), F.col("ResourceOrigin")
     parts = {
         "resourceFound20": F.col("resourceFound"),
@@ -93,12 +100,13 @@ def tag_history(current: DataFrame) -> DataFrame:
 
 
 def score_residency(base: DataFrame, resource: DataFrame, bucket: DataFrame, rules: DataFrame,
-                    run_ts: str) -> DataFrame:
+                    run_ts: str, found: DataFrame | None = None) -> DataFrame:
     """Residency scorecard: is each product in the approved region it declares?"""
+    places = resource_rollup(resource) if found is None else found.select("DataProductId", "place.*")
     declared = approved_region_lookup(
         base.select("DataProductId", "DataProductDisplayName", "DataProductDescription", "ResidencyRegion"),
         "ResidencyRegion", rules)
-    df = declared.join(residency_evidence(base, resource, bucket), "DataProductId")
+    df = declared.join(residency_evidence(base, places, bucket), "DataProductId")
     there = (F.col("AzureResourceFound") & F.col("IsApproved")
              & (normalise_id(F.col("AzureLocations")) == normalise_id(F.coalesce("RegionCode", F.lit("")))))
     bands = {k: verdict(b, "score", "reason") for k, b in V.RESIDENCY_BANDS.items()}
@@ -119,13 +127,13 @@ def score_residency(base: DataFrame, resource: DataFrame, bucket: DataFrame, rul
 
 
 def score_cc(base: DataFrame, resource: DataFrame, patch: DataFrame, sku_rules: DataFrame, run_ts: str,
-             variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG) -> DataFrame:
+             variants: Sequence[str] = V.PRIMARY_PRODUCT_TAG, found: DataFrame | None = None) -> DataFrame:
     """Confidential-compute scorecard for products with full-name columns; others count as 100."""
-    evidence = cc_evidence(resource, patch, base.filter("CCApplicable"), variants)
+    evidence = cc_evidence(resource, patch, base.filter("CCApplicable"), variants, found)
     df = sku_lookup(base.select("DataProductId", "DataProductDisplayName", "HasFullNameClassification",
                                 "FullNameColumnCount", "CCApplicable").join(evidence, "DataProductId", "left"),
                     "VmSize", sku_rules)
-    found, applicable = is_true(F.col("resourceFound")), F.col("vmApplicable")
+    seen, applicable = is_true(F.col("resourceFound")), F.col("vmApplicable")
     no_sku = clean(F.col("VmSize")).isNull()
     bands = {k: verdict(b, "score", "status", "reason") for k, b in V.CC_BANDS.items()}
     rated = ladder(
@@ -136,7 +144,7 @@ def score_cc(base: DataFrame, resource: DataFrame, patch: DataFrame, sku_rules:
         otherwise=bands["approved"])
     band = ladder(
         (~F.col("CCApplicable"), bands["not_pii"]),
-        (~found, bands["not_found"]),
+        (~seen, bands["not_found"]),
         (is_true(~applicable), bands["type_na"]),
         (is_true(applicable), rated),
         otherwise=bands["unknown"])
@@ -154,18 +162,18 @@ def json_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.substring(F.coalesce(c, f), 1, V.JSON_LIMIT) for c, f in fills.items()})
 
 
-def defender_evidence(base: DataFrame, judged: DataFrame) -> DataFrame:
-    """Protection evidence joined to the base; counts are zero where there is none.
+def defender_evidence(base: DataFrame, protection: DataFrame) -> DataFrame:
+    """Protection evidence joined to the base; counts are zero where there is none, and where the check does not apply.
 
-    ``judged`` are the resources of :func:`judged_resources`.
+    ``protection`` are the counts of :func:`rollup_resources`.
     """
-    found = rollup_resources(judged).withColumn("_found", F.lit(True))
-    df = base.select("DataProductId", "DefenderApplicable").join(found, "DataProductId", "left")
     counts = ["applicableResourceCount", "configuredResourceCount", "runningResourceCount", "highActiveAlertCount"]
-    return (df.fillna(0, counts).withColumn("resourceFound", is_true(F.col("_found")))
-            .withColumn("applicable", F.col("DefenderApplicable") & (
-                ~F.col("resourceFound") | (F.col("applicableResourceCount") > 0)))
-            .withColumn("hasUnhealthyAssessments", is_true(F.col("hasUnhealthyAssessments"))).drop("_found"))
+    asked = F.col("DefenderApplicable")
+    df = base.select("DataProductId", "DefenderApplicable").join(protection.withColumn("_found", F.lit(True)), "DataProductId", "left")
+    return (df.withColumns({c: F.when(asked, F.coalesce(c, F.lit(0))).otherwise(0) for c in counts})
+            .withColumn("resourceFound", asked & is_true(F.col("_found")))
+            .withColumn("applicable", asked & (~F.col("resourceFound") | (F.col("applicableResourceCount") > 0)))
+            .withColumn("hasUnhealthyAssessments", asked & is_true(F.col("hasUnhealthyAssessments"))).drop("_found"))
 
 
 def judged_resources(base: DataFrame, resource: DataFrame, pricing: DataFrame, assessment: DataFrame,
@@ -196,9 +204,9 @@ def defender_points(evidence: DataFrame, run_ts: str) -> DataFrame:
 
 def score_defender(base: DataFrame, resource: DataFrame, pricing: DataFrame, assessment: DataFrame,
                    alert: DataFrame, run_ts: str) -> DataFrame:
-    """Threat-protection scorecard with its audit texts."""
-    judged = judged_resources(base, resource, pricing, assessment, alert)
-    df = defender_points(defender_evidence(base, judged), run_ts)
+    """Threat-protection scorecard with its audit texts. The judged resources are stored: counts and texts read them."""
+    judged = stored(judged_resources(base, resource, pricing, assessment, alert))
+    df = defender_points(defender_evidence(base, rollup_resources(judged)), run_ts)
     details = F.when(F.col("DefenderApplicable"), ladder(
         (~F.col("resourceFound"), F.lit(V.DEFENDER_NOTES["no_resource"])),
         (~F.col("applicable"), F.lit(V.DEFENDER_NOTES["none_applicable"])),

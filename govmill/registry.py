@@ -583,12 +583,12 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def score_tag(d: Inputs) -> DataFrame:
-    return d.tag_from(d.base)
+    return d.tag
 
 
 @query
 def tag_history(d: Inputs) -> DataFrame:
-    return scores.tag_history(d.tag_from(d.base))
+    return scores.tag_history(d.tag)
 
 
 @query
@@ -615,7 +615,7 @@ def defender_audit_texts(d: Inputs) -> DataFrame:
 @query
 def defender_evidence_state(d: Inputs) -> DataFrame:
     base = d.stored("base")
-    found = scores.defender_evidence(base, d.judged).filter("DefenderApplicable")
+    found = scores.defender_evidence(base, d.protection).filter("DefenderApplicable")
     return scores.defender_evidence_state(found, base.filter("IsHybridComputeMachine"))
 
 
