@@ -49,6 +49,21 @@ def schema_diff(df: DataFrame, target: T.StructType) -> DataFrame:
         F.coalesce("frame", "table").alias("column"), "issue", "frame_type", "table_type")
 
 
+def schema_diff_counts(df: DataFrame, target: T.StructType) -> DataFrame:
+    """:func:`schema_diff` with ``filled``, the values of the frame that a difference concerns; null for columns it lacks.
+
+    One pass over the frame counts all of its columns that differ.
+    """
+    wanted = {f.name.lower(): f.dataType.simpleString() for f in target.fields}
+    odd = [f.name for f in df.schema.fields if wanted.get(f.name.lower()) != f.dataType.simpleString()]
+    issues = schema_diff(df, target)
+    if not odd:
+        return issues.withColumn("filled", F.lit(None).cast("bigint"))
+    counts = df.agg(*(F.count(f"`{c}`").alias(c) for c in odd)).select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("filled")) for c in odd))))
+    return issues.join(counts, "column", "left")
+
+
 def typed_rows(spark, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
     """Evidence records as a frame whose columns have their types even when there is no record."""
     return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)

@@ -399,6 +399,38 @@ def _protection_columns() -> list[Column]:
             is_true(F.bool_or(F.col("unhealthy") > 0)).alias("hasUnhealthyAssessments")]
 
 
+def evaluation_rows(resource: DataFrame, pricing: DataFrame, assessment: DataFrame, alert: DataFrame) -> DataFrame:
+    """The whole evaluation, one row per product and resource: what the audit texts hold, never cut.
+
+    Plans and alerts of a resource are rows of their own: :func:`plan_rows`, :func:`alert_rows`.
+    """
+    checks = assessment_counts(assessment).select("resource_id", "healthy", F.col("unhealthy").alias("_unhealthy"), "notApplicable", "unknown")
+    r = defender_resources(resource, pricing, assessment, alert).join(checks, "resource_id", "left")
+
+    def count(c: str) -> Column:
+        return F.when(F.col("isApplicable"), F.coalesce(c, F.lit(0)))
+
+    return r.select(
+        "DataProductId", "ResourceId", resource_name(F.col("ResourceId")).alias("ResourceName"), "ResourceType", "SubscriptionId", "ResourceGroup", "Location",
+        F.col("isApplicable").alias("defenderApplicable"), F.col("isConfigured").alias("defenderConfigured"), "hasAssessments",
+        F.col("isRunning").alias("defenderRunning"), F.col("total").alias("assessmentsTotal"), count("healthy").alias("healthy"),
+        count("_unhealthy").alias("unhealthy"), count("notApplicable").alias("notApplicable"), count("unknown").alias("unknown"),
+        F.col("highActive").alias("highActiveAlerts"))
+
+
+def plan_rows(resource: DataFrame, pricing: DataFrame) -> DataFrame:
+    """One row per product, resource and plan that could cover it, with the plan's tier in its subscription."""
+    asked = tagged(resource).select("DataProductId", "ResourceId", "SubscriptionId", F.explode(defender_candidate_plans(F.col("ResourceType"))).alias("plan"))
+    return asked.join(pricing_map(pricing), ["SubscriptionId", "plan"], "left").select("DataProductId", "ResourceId", "plan", "tier")
+
+
+def alert_rows(resource: DataFrame, alert: DataFrame) -> DataFrame:
+    """Every active, high alert of a product's resources."""
+    named = tagged(resource).select("DataProductId", "ResourceId", F.lower(F.trim("ResourceId")).alias("resource_id"))
+    return named.join(active_high_alerts(alert), "resource_id").select(
+        "DataProductId", "ResourceId", "systemAlertId", "severity", "status", "startTimeUtc")
+
+
 def defender_audit_json(resource: DataFrame, pricing: DataFrame, assessment: DataFrame, alert: DataFrame) -> DataFrame:
     """Audit texts per product: its resources, and the evaluation of those a plan can cover.
 

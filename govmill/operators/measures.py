@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from govmill.functions import fixed_values as V
-from govmill.functions.columns import normalise_id
+from govmill.functions.columns import ladder, normalise_id
 from govmill.operators.keyed import latest_snapshot_rows
 
 
@@ -110,3 +110,19 @@ def measures_last_run(residency_deltas: DataFrame, catalog_deltas: DataFrame, ti
         newest(timeline, F.col("ProductsMissingResidency"), "m32_missing_residency"))
     flag = F.when(F.abs("m30_delta_pct") >= threshold, 1).otherwise(0)
     return m.fillna(0, ["m27_residency_changes", "m32_missing_residency"]).withColumn("m31_spike_flag", flag)
+
+
+def measures_by_slicer(base: DataFrame) -> DataFrame:
+    """Product measures for every value of both slicers, region and kind, and for all of them, from one aggregate.
+
+    ``ALL`` marks a slicer that is not set; the row with both is the grand total.
+    """
+    kinds = {"s3": "IsS3", "fabric": "IsFabric", "sql": "IsSqlPaaS", "storage": "IsStorage", "hybrid": "IsHybridComputeMachine", "vm": "IsVmLike"}
+    kind = ladder(*((F.col(flag), F.lit(name)) for name, flag in kinds.items()), otherwise=F.lit("other"))
+    sliced = base.withColumn("kind", kind).cube("ResidencyRegion", "kind").agg(
+        F.grouping("ResidencyRegion").alias("_any_region"), F.grouping("kind").alias("_any_kind"), F.count("*").alias("products"),
+        F.count_if(F.col("HasFullNameClassification") == 1).alias("sensitive"), F.count_if("DefenderApplicable").alias("protectable"),
+        F.sum(F.col("FullNameColumnCount").cast("bigint")).alias("fullname_columns"))
+    return sliced.select(
+        F.when(F.col("_any_region") == 1, "ALL").otherwise(F.coalesce("ResidencyRegion", F.lit(V.UNASSIGNED_REGION))).alias("region"),
+        F.when(F.col("_any_kind") == 1, "ALL").otherwise(F.col("kind")).alias("kind"), "products", "sensitive", "protectable", "fullname_columns")

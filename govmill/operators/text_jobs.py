@@ -146,3 +146,32 @@ def lineage_counts(visuals: DataFrame) -> DataFrame:
     lineage = reference_lineage(visuals).groupBy("page_id").agg(F.countDistinct("entity").alias("entities"))
     counts = visuals.groupBy("page_id").agg(F.countDistinct("visual_id").alias("visuals"))
     return counts.join(lineage, "page_id", "left").fillna(0, ["entities"])
+
+
+def visual_catalog(visuals: DataFrame) -> DataFrame:
+    """Type, title, report and page of every visual; the last two stand in its file's path. Words for what is not there."""
+    doc = F.try_parse_json("definition")
+
+    def told(path: str) -> Column:
+        return F.try_variant_get(doc, path, "string")
+
+    def part(pattern: str) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), F.lit("unknown"))
+
+    title = F.trim(told("$.visual.visualContainerObjects.title[0].properties.text.expr.Literal.Value"), F.lit("'"))
+    return visuals.select(
+        "visual_id", F.coalesce(told("$.visual.visualType"), F.lit("unknown")).alias("visual_type"), F.coalesce(title, F.lit("Untitled")).alias("title"),
+        part("([^/]+)__Report/").alias("report"), part("/pages/([^/]+)/").alias("page"))
+
+
+def table_usage(visuals: DataFrame) -> DataFrame:
+    """Which visual of which report uses which entity, with its type, title and properties."""
+    used = reference_lineage(visuals).select("entity", "visual_id", "properties")
+    return used.join(visual_catalog(visuals), "visual_id").select("entity", "report", "visual_id", "page", "visual_type", "title", "properties")
+
+
+def report_lineage(visuals: DataFrame) -> DataFrame:
+    """Visuals and entities of every page of a report and, with page null, of the whole report."""
+    used = visual_catalog(visuals).join(reference_lineage(visuals).select("visual_id", "entity"), "visual_id", "left")
+    return used.groupingSets([["report", "page"], ["report"]], "report", "page").agg(
+        F.countDistinct("visual_id").alias("visuals"), F.countDistinct("entity").alias("entities"))

@@ -331,19 +331,11 @@ SELECT * FROM o_residency
 SELECT * FROM o_cc
 
 -- view: score_defender
-SELECT * EXCLUDE (IsHybridComputeMachine) FROM o_defender
+SELECT d.* EXCLUDE (IsHybridComputeMachine), COALESCE(a.resourcesJson, '[]') AS resourcesJson, COALESCE(a.evaluatedResourcesJson, '[]') AS evaluatedResourcesJson
+FROM o_defender d LEFT JOIN o_base b ON b.DataProductId = d.dataProductId LEFT JOIN o_audit a ON a.DataProductId = d.dataProductId AND b.DefenderApplicable
 
 -- view: defender_audit_texts
-SELECT a.DataProductId, substr(a.t, 1, 200000) AS resourcesJson, substr(b.t, 1, 200000) AS evaluatedResourcesJson FROM (
-  SELECT DataProductId, '[' || STRING_AGG('{"id":"' || ResourceId || '","name":"' || regexp_extract(ResourceId, '([^/]+)$', 1) || '","type":"' || ResourceType
-         || '","subscriptionId":"' || SubscriptionId || '","resourceGroup":"' || ResourceGroup || '","location":"' || Location || '","defenderCandidatePlans":['
-         || CASE WHEN ok THEN '"' || replace(plans, ',', '","') || '"' ELSE '' END || '],"defenderApplicable":' || CAST(ok AS VARCHAR) || '}', ',' ORDER BY ResourceId) || ']' AS t
-  FROM o_def_resource GROUP BY DataProductId) a
-LEFT JOIN (
-  SELECT DataProductId, '[' || STRING_AGG('{"id":"' || ResourceId || '","candidatePlans":["' || replace(plans, ',', '","') || '"],"defenderConfigured":' || CAST(configured AS VARCHAR)
-         || ',"hasAssessments":' || CAST(total > 0 AS VARCHAR) || ',"defenderRunning":' || CAST(configured AND total > 0 AS VARCHAR) || ',"assessmentsTotal":' || CAST(total AS VARCHAR)
-         || ',"assessmentsUnhealthy":' || CAST(CAST(bad AS BIGINT) AS VARCHAR) || ',"highActiveAlerts":' || CAST(alerts AS VARCHAR) || '}', ',' ORDER BY ResourceId) || ']' AS t
-  FROM o_def_resource WHERE ok GROUP BY DataProductId) b ON b.DataProductId = a.DataProductId
+SELECT * FROM o_audit
 
 -- view: defender_evidence_state
 SELECT dataProductId AS DataProductId, progressScore, CASE progressState WHEN 'NotFound' THEN 'resourceNotFound' WHEN 'runningUnhealthy' THEN 'assessmentUnhealthy'
@@ -386,7 +378,8 @@ SELECT * FROM o_after
 SELECT TIMESTAMP '2024-03-01 00:00:00' AS ActionTimeUtc, 'PurviewResidencyGlossaryUpdate' AS ActionType, status AS ActionStatus, dryRun AS DryRun,
        dataProductId AS DataProductID, DataProductDisplayName, 'P-REGION' AS ParentTermName, currentResidencyCode AS CurrentResidencyCode,
        targetResidencyCode AS TargetResidencyCode, 'steward' AS RequestedBy, 'console' AS RequestSource, requestId AS RequestId, action AS ActionDecision,
-       notes AS Notes, TIMESTAMP '2024-03-01 00:00:00' AS IngestedAtUtc FROM o_apply
+       notes AS Notes, TIMESTAMP '2024-03-01 00:00:00' AS IngestedAtUtc,
+       '{' || concat_ws(',', '"requestId":"' || requestId || '"', '"dataProductId":"' || dataProductId || '"', '"action":"' || action || '"', '"status":"' || status || '"', '"currentResidencyCode":"' || currentResidencyCode || '"', '"targetResidencyCode":"' || targetResidencyCode || '"') || '}' AS RawActionLogRecordJson FROM o_apply
 
 -- view: tag_merge_plan
 SELECT * FROM o_tag_plan
@@ -398,7 +391,8 @@ SELECT COUNT(*) AS requestedCount, COUNT(*) FILTER (WHERE applied) AS appliedCou
 SELECT TIMESTAMP '2024-03-01 00:00:00' AS ActionTimeUtc, 'CCPIIInvestigateTag' AS ActionType, status AS ActionStatus, dryRun AS DryRun, dataProductId AS DataProductID,
        dataProductDisplayName AS DataProductDisplayName, ccScorePct AS CCScorePct, ownerEmail AS OwnerEmail, resourceId AS ResourceId, tagKey AS SuggestedTagKey,
        tagValue AS SuggestedTagValue, 'steward' AS RequestedBy, 'console' AS RequestSource, 'tags-1' AS RequestId, note AS Notes,
-       TIMESTAMP '2024-03-01 00:00:00' AS IngestedAtUtc FROM o_tag_plan WHERE resourceId IS NOT NULL
+       TIMESTAMP '2024-03-01 00:00:00' AS IngestedAtUtc,
+       '{' || concat_ws(',', '"resourceId":"' || resourceId || '"', '"dataProductId":"' || dataProductId || '"', '"tagKey":"' || tagKey || '"', '"tagValue":"' || tagValue || '"', '"status":"' || status || '"') || '}' AS RawActionLogRecordJson FROM o_tag_plan WHERE resourceId IS NOT NULL
 
 -- view: enforce_tag_policy
 SELECT ResourceId, 'origin' AS rule, 'resource-origin' AS tag, tag_origin AS before, o AS "after" FROM (
@@ -592,3 +586,60 @@ SELECT * FROM o_asset_totals
 
 -- view: residency_totals_in_steps
 SELECT * FROM o_res_totals
+
+-- view: defender_evidence_rows
+SELECT r.DataProductId, r.ResourceId, regexp_extract(r.ResourceId, '([^/]+)$', 1) AS ResourceName, r.ResourceType, r.SubscriptionId, r.ResourceGroup, r.Location,
+       r.ok AS defenderApplicable, r.configured AS defenderConfigured, COALESCE(r.total > 0, FALSE) AS hasAssessments,
+       r.configured AND COALESCE(r.total > 0, FALSE) AS defenderRunning, r.total AS assessmentsTotal,
+       CASE WHEN r.ok THEN COALESCE(a.healthy, 0) END AS healthy, CASE WHEN r.ok THEN COALESCE(a.unhealthy, 0) END AS unhealthy,
+       CASE WHEN r.ok THEN COALESCE(a.na, 0) END AS notApplicable, CASE WHEN r.ok THEN COALESCE(a.other, 0) END AS unknown, r.alerts AS highActiveAlerts
+FROM o_def_resource r LEFT JOIN (
+  SELECT resource_id, COUNT(*) FILTER (WHERE lower(statusCode) = 'healthy') AS healthy, COUNT(*) FILTER (WHERE lower(statusCode) = 'unhealthy') AS unhealthy,
+         COUNT(*) FILTER (WHERE lower(statusCode) = 'notapplicable') AS na,
+         COUNT(*) FILTER (WHERE lower(statusCode) NOT IN ('healthy', 'unhealthy', 'notapplicable')) AS other
+  FROM g_assessment GROUP BY resource_id) a ON a.resource_id = lower(r.ResourceId)
+
+-- view: defender_plan_rows
+SELECT r.DataProductId, r.ResourceId, r.plan, MAX(trim(p.pricingTier)) AS tier
+FROM (SELECT DataProductId, ResourceId, SubscriptionId, unnest(string_split(plans, ',')) AS plan FROM o_def_resource WHERE ok) r
+LEFT JOIN g_pricing p ON p.SubscriptionId = r.SubscriptionId AND lower(p.plan_name) = r.plan GROUP BY r.DataProductId, r.ResourceId, r.plan
+
+-- view: defender_alert_rows
+SELECT r.DataProductId, r.ResourceId, l.systemAlertId, l.severity, l.status, l.startTimeUtc
+FROM o_def_resource r JOIN g_alert l ON l.resource_id = lower(r.ResourceId) WHERE l.status = 'Active' AND l.severity = 'High'
+
+-- view: star_rows
+SELECT s.fact, s.fact_key, d.DataProductId AS ProductId, d.DataProductDisplayName AS ProductDisplayName
+FROM o_star s LEFT JOIN o_dim d ON lower(trim(CASE s.side WHEN 'id' THEN d.DataProductId ELSE d.DataProductDescription END)) = lower(trim(s.fact_key))
+
+-- view: measures_by_slicer
+SELECT CASE WHEN GROUPING(ResidencyRegion) = 1 THEN 'ALL' ELSE COALESCE(ResidencyRegion, 'Unknown (not assigned)') END AS region,
+       CASE WHEN GROUPING(kind) = 1 THEN 'ALL' ELSE kind END AS kind, COUNT(*) AS products, COUNT(*) FILTER (WHERE HasFullNameClassification = 1) AS sensitive,
+       COUNT(*) FILTER (WHERE DefenderApplicable) AS protectable, CAST(SUM(FullNameColumnCount) AS BIGINT) AS fullname_columns
+FROM (SELECT *, CASE WHEN IsS3 THEN 's3' WHEN IsFabric THEN 'fabric' WHEN IsSqlPaaS THEN 'sql' WHEN IsStorage THEN 'storage'
+                     WHEN IsHybridComputeMachine THEN 'hybrid' WHEN IsVmLike THEN 'vm' ELSE 'other' END AS kind FROM o_base) b
+GROUP BY GROUPING SETS ((ResidencyRegion, kind), (ResidencyRegion), (kind), ())
+
+-- view: saved_filter_rows
+SELECT 'not changed' AS "filter", DataProductID || ' @ ' || strftime(SnapshotUtc, '%Y-%m-%d %H:%M:%S') AS item FROM o_res_deltas WHERE NOT HasChanged
+UNION ALL SELECT 'not confidential', ComputeResourceId FROM o_vms WHERE IsConfidential = 0
+UNION ALL SELECT 'no region', DataProductId FROM o_dim WHERE ResidencyRegion IS NULL
+UNION ALL SELECT 'score not 100', DataProductId FROM o_cc WHERE CCForPIIScore <> 100
+UNION ALL SELECT 'no patch data', DataProductId FROM o_cc WHERE PatchAssessmentStatus = 'NoData'
+UNION ALL SELECT 'moved', DataProductName FROM o_asset_deltas GROUP BY DataProductName HAVING SUM(DeltaAssets) <> 0
+UNION ALL SELECT 'sensitive and confidential', DataProductDisplayName FROM (SELECT DISTINCT DataProductDisplayName FROM o_flags WHERE m10_both = 1) x
+
+-- view: visual_catalog
+SELECT * FROM o_visuals
+
+-- view: report_lineage
+SELECT v.report, v.page, COUNT(DISTINCT v.visual_id) AS visuals, COUNT(DISTINCT l.entity) AS entities
+FROM o_visuals v LEFT JOIN o_lineage l ON l.visual_id = v.visual_id GROUP BY GROUPING SETS ((v.report, v.page), (v.report))
+
+-- view: table_usage
+SELECT l.entity, v.report, v.visual_id, v.page, v.visual_type, v.title, l.properties FROM o_lineage l JOIN o_visuals v ON v.visual_id = l.visual_id
+
+-- view: schema_diff
+SELECT 'ResidencyRegion' AS "column", 'ONLY IN DF' AS issue, 'string' AS frame_type, NULL AS table_type, COUNT(ResidencyRegion) AS filled FROM o_dim
+UNION ALL SELECT 'DataProductDescription', 'TYPE MISMATCH', 'string', 'int', COUNT(DataProductDescription) FROM o_dim
+UNION ALL SELECT 'Retired', 'ONLY IN TABLE', NULL, 'boolean', NULL

@@ -342,7 +342,7 @@ SELECT c.DataProductId, COALESCE(c.DataProductDisplayName, d.DataProductDisplayN
        c.VmSize AS LookupSkuOrModel, c.IsApprovedSku,
        CASE lower(c.ResourceType) WHEN 'microsoft.compute/virtualmachines' THEN 'AzureVM' WHEN 'microsoft.hybridcompute/machines' THEN 'ArcMachine'
             ELSE 'SqlVirtualMachine' END AS CCResourceKind, CAST(NULL AS VARCHAR) AS ArcCloudProvider, CAST(NULL AS VARCHAR) AS ArcStatus,
-       c.VmSize AS VmSizeCompat, c.SecurityType
+       c.VmSize AS VmSizeCompat, c.SecurityType, '2024-03-01 00:00:00' AS SnapshotUtc
 FROM o_cc c LEFT JOIN o_owner o ON o.DataProductId = c.DataProductId LEFT JOIN o_dim d ON d.DataProductId = c.DataProductId
 WHERE c.HasFullNameClassification = 1 AND c.CCForPIIScore IN (50, 75)
   AND lower(c.ResourceType) IN ('microsoft.compute/virtualmachines', 'microsoft.hybridcompute/machines', 'microsoft.sqlvirtualmachine/sqlvirtualmachines')
@@ -478,9 +478,9 @@ LEFT JOIN (SELECT lower(trim(DataProductId)) AS id, MAX(HasFullNameClassificatio
 LEFT JOIN o_vm_rollup v ON v.DataProductId = d.DataProductId
 
 -- view: o_visual
-SELECT visual_id, page_id, json_extract_string(definition, '$.query.field.Column.Expression.SourceRef.Entity') AS e1,
-       json_extract_string(definition, '$.filter.Measure.Expression.SourceRef.Entity') AS e2,
-       json_extract_string(definition, '$.query.field.Column.Property') AS p1, json_extract_string(definition, '$.filter.Measure.Property') AS p2
+SELECT visual_id, page_id, json_extract_string(definition, '$.visual.query.field.Column.Expression.SourceRef.Entity') AS e1,
+       json_extract_string(definition, '$.visual.filter.Measure.Expression.SourceRef.Entity') AS e2,
+       json_extract_string(definition, '$.visual.query.field.Column.Property') AS p1, json_extract_string(definition, '$.visual.filter.Measure.Property') AS p2
 FROM g_visual
 
 -- view: o_lineage
@@ -497,3 +497,39 @@ SELECT doc_id, t0, t1, t2, regexp_replace(t2, 'https://[A-Za-z0-9-]+\.azurewebsi
        regexp_replace(regexp_replace(t2, 'https://[A-Za-z0-9-]+\.azurewebsites\.net', 'https://<FUNCTION_APP>.azurewebsites.net', 'g'),
                       'https://[A-Za-z0-9-]+\.vault\.azure\.net/?', 'https://<KEYVAULT_NAME>.vault.azure.net/', 'g') AS t4
 FROM o_redacted
+
+-- view: o_audit
+SELECT a.DataProductId, substr(a.t, 1, 200000) AS resourcesJson, substr(b.t, 1, 200000) AS evaluatedResourcesJson FROM (
+  SELECT DataProductId, '[' || STRING_AGG('{"id":"' || ResourceId || '","name":"' || regexp_extract(ResourceId, '([^/]+)$', 1) || '","type":"' || ResourceType
+         || '","subscriptionId":"' || SubscriptionId || '","resourceGroup":"' || ResourceGroup || '","location":"' || Location || '","defenderCandidatePlans":['
+         || CASE WHEN ok THEN '"' || replace(plans, ',', '","') || '"' ELSE '' END || '],"defenderApplicable":' || CAST(ok AS VARCHAR) || '}', ',' ORDER BY ResourceId) || ']' AS t
+  FROM o_def_resource GROUP BY DataProductId) a
+LEFT JOIN (
+  SELECT DataProductId, '[' || STRING_AGG('{"id":"' || ResourceId || '","candidatePlans":["' || replace(plans, ',', '","') || '"],"defenderConfigured":' || CAST(configured AS VARCHAR)
+         || ',"hasAssessments":' || CAST(total > 0 AS VARCHAR) || ',"defenderRunning":' || CAST(configured AND total > 0 AS VARCHAR) || ',"assessmentsTotal":' || CAST(total AS VARCHAR)
+         || ',"assessmentsUnhealthy":' || CAST(CAST(bad AS BIGINT) AS VARCHAR) || ',"highActiveAlerts":' || CAST(alerts AS VARCHAR) || '}', ',' ORDER BY ResourceId) || ']' AS t
+  FROM o_def_resource WHERE ok GROUP BY DataProductId) b ON b.DataProductId = a.DataProductId
+
+-- view: o_visuals
+SELECT visual_id, COALESCE(json_extract_string(definition, '$.visual.visualType'), 'unknown') AS visual_type,
+       COALESCE(trim(json_extract_string(definition, '$.visual.visualContainerObjects.title[0].properties.text.expr.Literal.Value'), ''''), 'Untitled') AS title,
+       COALESCE(NULLIF(regexp_extract(path, '([^/]+)__Report/', 1), ''), 'unknown') AS report,
+       COALESCE(NULLIF(regexp_extract(path, '/pages/([^/]+)/', 1), ''), 'unknown') AS page
+FROM g_visual
+
+-- view: o_star
+SELECT 'inventory' AS fact, DataProductId AS fact_key, 'id' AS side FROM o_vms
+UNION ALL SELECT 'gap_no_compute', DataProductId, 'id' FROM o_gap_none
+UNION ALL SELECT 'gap_not_confidential', DataProductId, 'id' FROM o_gap_bad
+UNION ALL SELECT 'classification', DataProductId, 'id' FROM o_pii
+UNION ALL SELECT 'asset_counts', DataProductName, 'description' FROM o_asset_counts
+UNION ALL SELECT 'eligibility', DataProductID, 'id' FROM o_elig
+UNION ALL SELECT 'cc', DataProductId, 'id' FROM o_cc
+UNION ALL SELECT 'queue', DataProductId, 'id' FROM o_queue
+UNION ALL SELECT 'residency (inactive)', DataProductDescription, 'id' FROM o_residency
+UNION ALL SELECT 'defender', dataProductId, 'id' FROM o_defender
+UNION ALL SELECT 'tag', dataProductId, 'id' FROM o_tag
+UNION ALL SELECT 'summary', DataProductId, 'id' FROM o_summary
+UNION ALL SELECT 'scores: queue', DataProductId, 'id' FROM o_queue
+UNION ALL SELECT 'scores: signals', DataProductId, 'id' FROM o_cc
+UNION ALL SELECT 'scores: summary (inactive)', DataProductId, 'id' FROM o_summary

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from govmill.functions import columns as C
 from govmill.functions import fixed_values as V
-from govmill.functions.schemas import assert_exact_columns, conform_to_schema, typed_rows
+from govmill.functions.schemas import assert_exact_columns, conform_to_schema, schema_diff_counts, typed_rows
 from govmill.inputs import ACTOR, PARENT_TERM, RUN_TS, SOURCE, TAG_REQUEST, Inputs
-from govmill.operators import checks, drift, evidence, gold, keyed, measures, owners, policy, reports, scores, text_jobs, timeseries, upkeep
+from govmill.operators import checks, drift, evidence, gold, keyed, measures, owners, policy, reports, scores, star, text_jobs, timeseries, upkeep
 from govmill.plans import eligibility, residency_change, tag_change
 from govmill.session import shared_folder
 from govmill.sources import tables
@@ -280,6 +280,34 @@ def category_filters(d: Inputs) -> DataFrame:
     return out
 
 
+@query
+def saved_filter_rows(d: Inputs) -> DataFrame:
+    """The rows that each saved report filter keeps."""
+    def kept(name: str, df: DataFrame, condition, item) -> DataFrame:
+        return df.filter(condition).select(F.lit(name).alias("filter"), item.alias("item"))
+
+    cc = d.stored("cc")
+    at = F.concat_ws(" @ ", "DataProductID", F.date_format("SnapshotUtc", "yyyy-MM-dd HH:mm:ss"))
+    both = reports.sensitive_and_confidential(d.gold, d.classification, d.inventory)
+    return reduce(DataFrame.unionByName, [
+        kept("not changed", d.residency_deltas, ~F.col("HasChanged"), at),
+        kept("not confidential", d.inventory, F.col("IsConfidential") == 0, F.col("ComputeResourceId")),
+        kept("no region", d.dimension, F.col("ResidencyRegion").isNull(), F.col("DataProductId")),
+        kept("score not 100", cc, F.col("CCForPIIScore") != 100, F.col("DataProductId")),
+        kept("no patch data", cc, F.col("PatchAssessmentStatus") == V.PATCH_NO_DATA, F.col("DataProductId")),
+        kept("moved", d.asset_deltas.groupBy("DataProductName").agg(F.sum("DeltaAssets").alias("s")), F.col("s") != 0, F.col("DataProductName")),
+        kept("sensitive and confidential", both, F.lit(True), F.col("DataProductDisplayName")),
+    ])
+
+
+@query
+def schema_diff(d: Inputs) -> DataFrame:
+    """Products against an older table layout, with the number of filled values that each difference concerns."""
+    older = T.StructType([T.StructField("dataproductid", T.StringType()), T.StructField("DataProductDisplayName", T.StringType()),
+                          T.StructField("DataProductDescription", T.IntegerType()), T.StructField("Retired", T.BooleanType())])
+    return schema_diff_counts(d.dimension, older)
+
+
 @query
 def resource_kind(d: Inputs) -> DataFrame:
     return d.resource.select("ResourceId", C.resource_kind(F.col("ResourceType")).alias("kind"), C.is_compute(F.col("ResourceType")).alias("applicable"))
@@ -402,6 +430,21 @@ def star_join(d: Inputs) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query
+def star_rows(d: Inputs) -> DataFrame:
+    """Every row of every table of both saved models with its product, by the model's relationships."""
+    facts = {
+        "inventory": d.inventory, "gap_no_compute": d.gap_no_compute, "gap_not_confidential": d.gap_not_confidential,
+        "classification": d.stored("classification"), "asset_counts": d.asset_counts, "eligibility": d.eligibility, "cc": d.stored("cc"),
+        "queue": d.queue, "residency": d.stored("residency"), "defender": d.defender_points, "tag": d.tag, "summary": d.summary}
+    return star.product_rows(facts, d.dimension)
+
+
+@query
+def measures_by_slicer(d: Inputs) -> DataFrame:
+    return measures.measures_by_slicer(d.base)
+
+
 @query
 def case_variant_join(d: Inputs) -> DataFrame:
     b = d.dimension.select("DataProductId").alias("b")
@@ -603,8 +646,7 @@ def score_cc(d: Inputs) -> DataFrame:
 
 @query
 def score_defender(d: Inputs) -> DataFrame:
-    """All 14 columns are built; of the audit texts the check compares the details."""
-    return d.defender.drop("resourcesJson", "evaluatedResourcesJson")
+    return d.defender
 
 
 @query
@@ -612,6 +654,21 @@ def defender_audit_texts(d: Inputs) -> DataFrame:
     return evidence.defender_audit_json(d.resource, d.pricing, d.assessment, d.alert)
 
 
+@query
+def defender_evidence_rows(d: Inputs) -> DataFrame:
+    return evidence.evaluation_rows(d.resource, d.pricing, d.assessment, d.alert)
+
+
+@query
+def defender_plan_rows(d: Inputs) -> DataFrame:
+    return evidence.plan_rows(d.resource, d.pricing)
+
+
+@query
+def defender_alert_rows(d: Inputs) -> DataFrame:
+    return evidence.alert_rows(d.resource, d.alert)
+
+
 @query
 def defender_evidence_state(d: Inputs) -> DataFrame:
     base = d.stored("base")
@@ -646,7 +703,7 @@ def eligible_listing(d: Inputs) -> DataFrame:
 
 @query
 def cc_investigation_queue(d: Inputs) -> DataFrame:
-    return d.queue.drop("SnapshotUtc")
+    return d.queue
 
 
 @query
@@ -674,7 +731,7 @@ def residency_assignments_after(d: Inputs) -> DataFrame:
 
 @query
 def residency_changelog(d: Inputs) -> DataFrame:
-    return residency_change.residency_changelog(d.applied[1], PARENT_TERM, ACTOR, SOURCE, RUN_TS).drop("RawActionLogRecordJson")
+    return residency_change.residency_changelog(d.applied[1], PARENT_TERM, ACTOR, SOURCE, RUN_TS)
 
 
 @query
@@ -689,7 +746,7 @@ def tag_merge_counts(d: Inputs) -> DataFrame:
 
 @query
 def cc_changelog(d: Inputs) -> DataFrame:
-    return tag_change.cc_changelog(d.tag_plan, ACTOR, SOURCE, TAG_REQUEST, RUN_TS).drop("RawActionLogRecordJson")
+    return tag_change.cc_changelog(d.tag_plan, ACTOR, SOURCE, TAG_REQUEST, RUN_TS)
 
 
 @query
@@ -874,6 +931,21 @@ def reference_lineage(d: Inputs) -> DataFrame:
     return text_jobs.reference_lineage(d.visual)
 
 
+@query
+def visual_catalog(d: Inputs) -> DataFrame:
+    return text_jobs.visual_catalog(d.visual)
+
+
+@query
+def report_lineage(d: Inputs) -> DataFrame:
+    return text_jobs.report_lineage(d.visual)
+
+
+@query
+def table_usage(d: Inputs) -> DataFrame:
+    return text_jobs.table_usage(d.visual)
+
+
 @query
 def lineage_counts(d: Inputs) -> DataFrame:
     return text_jobs.lineage_counts(d.visual)

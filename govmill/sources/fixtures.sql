@@ -51,8 +51,8 @@ FROM lineitem
 -- view: g_column_class
 SELECT 'A' || CAST(l_orderkey AS STRING) AS DataAssetId,
        'C' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS ColumnId,
-       'K' || CAST(l_suppkey % 40 AS STRING) AS ClassificationId
-FROM lineitem WHERE l_orderkey % 3 = 0
+       CASE WHEN l_orderkey % 3 = 0 THEN 'K' ELSE 'Unlisted' END || CAST(l_suppkey % 40 AS STRING) AS ClassificationId
+FROM lineitem
 
 -- view: g_class
 SELECT 'K' || CAST(n_nationkey AS STRING) AS ClassificationId,
@@ -113,10 +113,10 @@ SELECT 'S' || CAST(r_regionkey AS STRING), 'StorageAccounts',
        CASE WHEN (r_regionkey + 2) % 3 = 0 THEN 'Free' ELSE 'Standard' END FROM region
 
 -- view: g_assessment
-SELECT lower(r.ResourceId) AS resource_id, 'check ' || CAST(o.o_orderkey % 9 AS STRING) AS displayName,
+SELECT lower(r.ResourceId) || CASE WHEN o.o_custkey % 11 = 0 THEN '/parts/1' ELSE '' END AS resource_id, 'check ' || CAST(o.o_orderkey % 9 AS STRING) AS displayName,
        CASE WHEN o.o_orderkey % 60 = 0 THEN 'Unhealthy' WHEN o.o_orderkey % 7 = 0 THEN 'NotApplicable'
             WHEN o.o_orderkey % 11 = 0 THEN '' ELSE 'Healthy' END AS statusCode, o.o_orderdate AS statusChangeDate
-FROM orders o JOIN g_resource r ON r.rk = o.o_custkey WHERE o.o_custkey % 11 <> 0
+FROM orders o JOIN g_resource r ON r.rk = o.o_custkey
 
 -- view: g_alert
 SELECT lower(r.ResourceId) AS resource_id, e.event_id AS systemAlertId,
@@ -125,37 +125,38 @@ SELECT lower(r.ResourceId) AS resource_id, e.event_id AS systemAlertId,
 FROM events e JOIN g_resource r ON r.rk = e.user_id
 
 -- view: g_patch
-SELECT lower(r.ResourceId) || '/patchassessmentresults/latest' AS assessment_id,
+SELECT lower(r.ResourceId) || CASE WHEN r.rk % 6 = 0 THEN '/patchassessmentresults/older' ELSE '/patchassessmentresults/latest' END AS assessment_id,
        CASE WHEN r.rk % 9 <> 0 THEN x.d0 END AS startDateTime, x.d1 AS lastModifiedDateTime,
        '{"critical":' || CAST(x.n % 2 AS STRING) || ',"security":' || CAST(r.rk % 2 AS STRING) || '}' AS counts_json
 FROM (SELECT o_custkey, MIN(o_orderdate) AS d0, MAX(o_orderdate) AS d1, COUNT(*) AS n FROM orders GROUP BY o_custkey) x
-JOIN g_resource r ON r.rk = x.o_custkey WHERE r.rk % 6 <> 0
+JOIN g_resource r ON r.rk = x.o_custkey
 
 -- view: g_bucket
-SELECT p_name || ' ' || p_brand AS bucketName,
+SELECT CASE WHEN p_partkey % 9 = 0 AND p_partkey % 5 <> 0 THEN '' ELSE 'spare ' END || p_name || ' ' || p_brand AS bucketName,
        MIN(CASE p_partkey % 4 WHEN 0 THEN 'US' WHEN 1 THEN '' WHEN 2 THEN lower('NATION_') || CAST(p_partkey % 29 AS STRING)
            ELSE NULL END) AS bucketLocation
-FROM part WHERE p_partkey % 9 = 0 AND p_partkey % 5 <> 0 GROUP BY p_name || ' ' || p_brand
+FROM part GROUP BY CASE WHEN p_partkey % 9 = 0 AND p_partkey % 5 <> 0 THEN '' ELSE 'spare ' END || p_name || ' ' || p_brand
 
 -- view: g_owner
-SELECT raw AS DataProductId, CASE WHEN k % 19 = 0 THEN ' ' ELSE 'O' || CAST(k % 97 AS STRING) END AS DataProductOwnerId
+SELECT raw AS DataProductId, CASE WHEN k % 19 = 0 THEN ' ' WHEN k % 2 = 0 THEN 'O' || CAST(k AS STRING) ELSE 'O' || CAST(k % 97 AS STRING) END AS DataProductOwnerId
 FROM g_pid
 
 -- view: g_owner_contact
-SELECT 'O' || CAST(c_custkey AS STRING) AS OwnerObjectId, c_name AS OwnerName,
+SELECT CASE WHEN c_custkey % 3 = 0 THEN 'Left' ELSE 'O' END || CAST(c_custkey AS STRING) AS OwnerObjectId, c_name AS OwnerName,
        'owner' || CAST(c_custkey AS STRING) || '@example.com' AS OwnerEmail
-FROM customer WHERE c_custkey < 97 AND c_custkey % 3 <> 0
+FROM customer
 
 -- view: g_catalog_history
 SELECT ts AS SnapshotUtc, CASE WHEN event_id % 97 = 0 THEN 0 WHEN event_id % 50 = 0 THEN 5000 + event_id
        ELSE 1000 + event_id END AS TotalAssets, event_id % 2 = 0 AS IsApproximate
-FROM events WHERE event_type = 'purchase'
+FROM events
 
 -- view: g_asset_history
-SELECT date_trunc('hour', ts) AS SnapshotTS, 'user ' || CAST(user_id AS STRING) AS DataProductName,
-       CAST(SUM(event_id % 50) AS BIGINT) AS TotalAssets
-FROM events WHERE event_type IN ('view', 'click') AND EXTRACT(DAY FROM ts) % 9 <> 0
-GROUP BY date_trunc('hour', ts), user_id
+SELECT SnapshotTS, DataProductName, CAST(SUM(n) AS BIGINT) AS TotalAssets
+FROM (SELECT date_trunc('hour', ts) AS SnapshotTS, event_id % 50 AS n,
+             CASE WHEN event_type NOT IN ('view', 'click') THEN event_type || ' ' WHEN EXTRACT(DAY FROM ts) % 9 = 0 THEN 'night ' ELSE 'user ' END ||
+             CAST(user_id AS STRING) AS DataProductName FROM events) x
+GROUP BY SnapshotTS, DataProductName
 
 -- view: g_residency_history
 SELECT date_trunc('day', ts) AS Snapshots, 'u-' || CAST(user_id AS STRING) AS DataProductID,
@@ -171,18 +172,24 @@ SELECT 'req-' || CAST(k AS STRING) AS requestId, CASE WHEN k % 41 = 0 THEN '' EL
             ELSE 'nation_4' END AS targetResidencyCode,
        k % 5 = 0 AS expectedProvided, CASE WHEN k % 10 = 0 THEN 'nation_2' END AS expectedCurrentResidencyCode,
        k % 3 = 0 AS dryRun, k % 4 <> 0 AS confirm
-FROM g_pid WHERE k % 2 = 0 OR k % 3 = 0
+FROM g_pid
 
 -- view: g_policy_state
 SELECT r.ResourceId AS resourceId, o.o_orderkey % 4 <> 0 AS isCompliant,
        CASE WHEN o.o_orderkey % 3 = 0 THEN 'lt-1,lt-2,es-2' ELSE 'dp-3' END AS groupNames, o.o_orderdate AS stateTime
-FROM orders o JOIN g_resource r ON r.rk = o.o_custkey WHERE o.o_orderkey % 5 = 0
+FROM orders o JOIN g_resource r ON r.rk = o.o_custkey
 
 -- view: g_visual
 SELECT 'v' || CAST(p_partkey AS STRING) AS visual_id, 'page' || CAST(p_partkey % 6 AS STRING) AS page_id,
-       '{"query":{"field":{"Column":{"Expression":{"SourceRef":{"Entity":"' || p_brand ||
+       'repo/' || CASE WHEN p_partkey % 8 = 0 THEN 'loose' ELSE 'Board ' || CAST(p_partkey % 4 AS STRING) || '__Report' END ||
+       CASE WHEN p_partkey % 7 = 0 THEN '' ELSE '/definition/pages/page' || CAST(p_partkey % 6 AS STRING) END ||
+       '/visuals/v' || CAST(p_partkey AS STRING) || '/visual.json' AS path,
+       '{"name":"v' || CAST(p_partkey AS STRING) || '","visual":{' ||
+       CASE WHEN p_partkey % 5 = 0 THEN '' ELSE '"visualType":"' || CASE p_partkey % 3 WHEN 0 THEN 'card' WHEN 1 THEN 'tableEx' ELSE 'lineChart' END || '",' END ||
+       CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '"visualContainerObjects":{"title":[{"properties":{"text":{"expr":{"Literal":{"Value":"''' || p_name || '''"}}}}}]},' END ||
+       '"query":{"field":{"Column":{"Expression":{"SourceRef":{"Entity":"' || p_brand ||
        '"}},"Property":"' || p_type || '"}}},"filter":{"Measure":{"Expression":{"SourceRef":{"Entity":"' ||
-       p_name || '"}},"Property":"size"}}}' AS definition
+       p_name || '"}},"Property":"size"}}}}' AS definition
 FROM part
 
 -- view: h_asset
