@@ -67,7 +67,7 @@ def test_alert_stream_keeps_state_between_runs(spark):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         stream = snapshots.drift_alert_stream(snapshots.snapshot_source(spark, f"{folder}/in", schema), f"{folder}/state", f"{folder}/alerts", f"{folder}/progress")
         stream.awaitTermination()
-    got = spark.read.schema(snapshots.ALERT_FIELDS).parquet(f"{folder}/alerts/batch=*").collect()
+    got = snapshots.current_alerts(spark, f"{folder}/state", f"{folder}/alerts").collect()
     assert sorted((r.ts, r.kind) for r in got) == [(days[2], "RegionChanged"), (days[2], "spike"), (days[3], "drop")]
 
 
@@ -77,7 +77,7 @@ def test_ingest_stream_ignores_repeats(spark):
     for part in ([(T0, 1)], [(T0, 1), (T0 + dt.timedelta(days=1), 2)], [(T0, 1)]):
         spark.createDataFrame(part, schema).write.mode("append").parquet(f"{folder}/in")
         source = snapshots.snapshot_source(spark, f"{folder}/in", schema, files_per_batch=1)
-        snapshots.snapshot_ingest_stream(source, f"{folder}/out", f"{folder}/progress", ["SnapshotUtc"]).awaitTermination()
+        snapshots.snapshot_ingest_stream(source, f"{folder}/out", f"{folder}/progress", ["SnapshotUtc"], "SnapshotUtc").awaitTermination()
     assert sorted(r.n for r in spark.read.parquet(f"{folder}/out").collect()) == [1, 2]
 
 
@@ -92,6 +92,9 @@ def test_replacing_a_table_is_safe(spark):
 
 
 def test_lost_state_is_an_error(spark, tmp_path):
+    schema = T.StructType.fromDDL("a int")
+    snapshots._began(spark, f"{tmp_path}/nothing", schema, begins=False)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        snapshots._stored(spark, f"{tmp_path}/nothing", T.StructType.fromDDL("a int"), begins=False).collect()
-    assert snapshots._stored(spark, f"{tmp_path}/new", T.StructType.fromDDL("a int"), begins=True).count() == 0
+        spark.read.schema(schema).parquet(f"{tmp_path}/nothing").collect()
+    snapshots._began(spark, f"{tmp_path}/new", schema, begins=True)
+    assert spark.read.schema(schema).parquet(f"{tmp_path}/new").count() == 0

@@ -3,7 +3,8 @@
 import json
 
 from govmill.operators.text_jobs import (
-    FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, leak_scan, leak_verdict, redact_text, redaction_report, visual_references,
+    FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, leak_scan, leak_verdict, redact_text, redaction_report, report_lineage, table_usage,
+    visual_catalog, visual_references,
 )
 
 RULES = (Rule("exact", "host.example.com", "<HOST>", pattern=False), *REDACTION_PATTERNS)
@@ -46,3 +47,17 @@ def test_references_are_found_at_any_depth(spark):
     df = spark.createDataFrame([("v", "p", json.dumps(doc)), ("bad", "p", "{"), ("none", "p", None), ("array", "p", json.dumps([nested(0, "x")]))], "visual_id string, page_id string, definition string")
     got = {r.visual_id: (r.entities, r.properties) for r in visual_references(df).collect()}
     assert got == {"v": (["deep-10", "deep-41", 'quoted "name"'], ["p-deep-10", "p-deep-41", 'p-quoted "name"']), "bad": ([], []), "array": ([], []), "none": ([], [])}
+
+
+def test_visuals_are_described_whatever_is_missing(spark):
+    full = {"name": "a", "visual": {"visualType": "card", "visualContainerObjects": {"title": [{"properties": {"text": {"expr": {"Literal": {"Value": "'It''s'"}}}}}]},
+                                    "query": nested(2, "T")}}
+    rows = [("a", "p", "x/Board__Report/definition/pages/p1/visuals/a/visual.json", json.dumps(full)), ("b", "p", "visual.json", "{"), ("c", "p", None, None),
+            ("d", "p", "Board__Report/pages/p1/visuals/d/visual.json", json.dumps({"visual": {"visualContainerObjects": {"title": []}}, "x": nested(0, "T")}))]
+    df = spark.createDataFrame(rows, "visual_id string, page_id string, path string, definition string")
+    got = {r.visual_id: tuple(r)[1:] for r in visual_catalog(df).collect()}
+    assert got == {"a": ("card", "It''s", "Board", "p1"), "b": ("unknown", "Untitled", "unknown", "unknown"),
+                   "c": ("unknown", "Untitled", "unknown", "unknown"), "d": ("unknown", "Untitled", "Board", "p1")}
+    counts = {(r.report, r.page): (r.visuals, r.entities) for r in report_lineage(df).collect()}
+    assert counts == {("Board", "p1"): (2, 1), ("Board", None): (2, 1), ("unknown", "unknown"): (2, 0), ("unknown", None): (2, 0)}
+    assert {(r.entity, r.visual_id, r.title) for r in table_usage(df).collect()} == {("T", "a", "It''s"), ("T", "d", "Untitled")}
