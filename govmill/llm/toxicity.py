@@ -40,6 +40,8 @@ SHARE, FEWEST = 0.02, 2
 DISCOUNT = 0.75
 PSEUDO = 0.5
 TOXIC = 0.7
+#: Bits of a word's key that tell the places of the next word apart: of a million different words before one, about 0.002 pairs are taken for one.
+KEPT = np.uint64((1 << 48) - 1)
 #: Bytes that stand before and after a word; they occur in no word.
 BEFORE, AFTER = 1, 2
 
@@ -114,19 +116,18 @@ def word_counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in words.slices(batch, "text"):
                 got = Words(part.column("text"))
-                toxic = np.repeat(part.column("toxic").to_numpy(), np.diff(got.bound)).astype(np.uint64)
-                half = np.repeat(part.column("half").to_numpy(), np.diff(got.bound)).astype(np.uint64)
+                toxic, half = (np.repeat(part.column(c).to_numpy(), np.diff(got.bound)).astype(np.uint64) for c in ("toxic", "half"))
                 before = np.concatenate([[0], got.key[:-1]]).astype(np.uint64) if len(got.key) else got.key
                 before[got.bound[:-1][np.diff(got.bound) > 0]] = 0
                 _, first, _ = ragged.distinct(ragged.mixed(before) + got.key * np.uint64(5) + toxic + half * np.uint64(2))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(toxic[first].astype(np.int64)), pa.array(before[first].view(np.int64)), got.strings(first),
-                     pa.array((half[first] + np.uint64(1)).astype(np.int64))], names=["toxic", "before", "word", "seen"])
+                    [pa.array((before[first] & KEPT).view(np.int64)), got.strings(first),
+                     pa.array((np.uint64(1) << (toxic[first] * np.uint64(2) + half[first])).astype(np.int64))], names=["before", "word", "seen"])
 
     found = rows.select("text", "toxic", F.col("half").cast("bigint").alias("half") if halves else F.lit(0).cast("bigint").alias("half"))
-    places = (found.mapInArrow(run, "toxic bigint, before bigint, word binary, seen bigint")
-              .groupBy("toxic", "before", "word").agg(F.bit_or("seen").alias("seen")))
-    count = lambda toxic, seen: F.count_if((F.col("toxic") == toxic) & (F.col("seen").bitwiseAND(seen) > 0))
+    # One row per place, whatever classes and halves have it: bits 0 and 1 are the halves of ordinary texts, 2 and 3 those of toxic ones.
+    places = found.mapInArrow(run, "before bigint, word binary, seen bigint").groupBy("before", "word").agg(F.bit_or("seen").alias("seen"))
+    count = lambda toxic, halves: F.count_if(F.col("seen").bitwiseAND(halves << 2 * toxic) > 0)
     each = [count(t, 1 << h).alias(f"n{t}_{h}") for h in (0, 1) for t in (0, 1)] if halves else []
     return places.groupBy("word").agg(count(0, 3).alias("n0"), count(1, 3).alias("n1"), *each)
 
