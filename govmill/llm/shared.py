@@ -25,12 +25,17 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of `df`, stored in the shared folder: a lost executor takes none of them along."""
+def cut(df: DataFrame, last_use: bool = False) -> DataFrame:
+    """The rows of `df`, stored in the shared folder: a lost executor takes none of them along.
+
+    With `last_use` the frame is given up before the collectors run, so that its shuffle files can go now and not at the next cut.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     done = df.checkpoint(eager=True)
+    if last_use:
+        del df
     # What was behind the cut is no longer reachable: let Spark remove its shuffle files now, not when memory runs low.
     gc.collect()
     context._jvm.System.gc()

@@ -281,7 +281,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if small_enough(known, SEND_BOUND):
         known = F.broadcast(known)
     learned = rows.join(known, "id")
-    ratios = cut(ratios_of(cut(piece_counts(cut(word_counts(learned)))), ["", "_0", "_1"]))
+    ratios = cut(ratios_of(cut(piece_counts(cut(word_counts(learned), True)), True), ["", "_0", "_1"]), True)
     # The curve is fitted on what was not counted: each half is rated by counts of the other.
     picked = rows.join(known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1e6)), "id")
     halves = [ratios.where(f"ratio_{h} is not null").select("piece", F.col(f"ratio_{h}").alias("ratio")) for h in (0, 1)]
