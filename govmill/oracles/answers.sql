@@ -643,3 +643,8 @@ SELECT l.entity, v.report, v.visual_id, v.page, v.visual_type, v.title, l.proper
 SELECT 'ResidencyRegion' AS "column", 'ONLY IN DF' AS issue, 'string' AS frame_type, NULL AS table_type, COUNT(ResidencyRegion) AS filled FROM o_dim
 UNION ALL SELECT 'DataProductDescription', 'TYPE MISMATCH', 'string', 'int', COUNT(DataProductDescription) FROM o_dim
 UNION ALL SELECT 'Retired', 'ONLY IN TABLE', NULL, 'boolean', NULL
+
+-- view: literal_scan
+SELECT d.doc_id, r.rule FROM documents d JOIN (
+  SELECT 'host ' || CAST(n_nationkey AS VARCHAR) AS rule, 'mail' || CAST(n_nationkey AS VARCHAR) || '.example.com' AS find FROM nation
+  UNION ALL SELECT 'product ' || DataProductID, DataProductDisplayName FROM g_product) r ON contains(d."text", r.find)

@@ -917,6 +917,15 @@ def leak_scan(d: Inputs) -> DataFrame:
     return text_jobs.leak_scan(d.documents, SCAN_RULES)
 
 
+@query
+def literal_scan(d: Inputs) -> DataFrame:
+    """Texts against thousands of literals: host names per nation and the names of all products."""
+    hosts = d.nation.select(F.concat(F.lit("host "), F.col("n_nationkey").cast("string")).alias("rule"),
+                            F.concat(F.lit("mail"), F.col("n_nationkey").cast("string"), F.lit(".example.com")).alias("find"))
+    names = d.product.select(F.concat(F.lit("product "), "DataProductID").alias("rule"), F.col("DataProductDisplayName").alias("find"))
+    return text_jobs.literal_scan(d.documents, hosts.unionByName(names))
+
+
 @query
 def leak_verdict(d: Inputs) -> DataFrame:
     """Verdict on the texts as they are, and after redaction."""

@@ -3,7 +3,7 @@
 import json
 
 from govmill.operators.text_jobs import (
-    FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, leak_scan, leak_verdict, redact_text, redaction_report, report_lineage, table_usage,
+    FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, leak_scan, literal_scan, leak_verdict, redact_text, redaction_report, report_lineage, table_usage,
     visual_catalog, visual_references,
 )
 
@@ -61,3 +61,15 @@ def test_visuals_are_described_whatever_is_missing(spark):
     counts = {(r.report, r.page): (r.visuals, r.entities) for r in report_lineage(df).collect()}
     assert counts == {("Board", "p1"): (2, 1), ("Board", None): (2, 1), ("unknown", "unknown"): (2, 0), ("unknown", None): (2, 0)}
     assert {(r.entity, r.visual_id, r.title) for r in table_usage(df).collect()} == {("T", "a", "It''s"), ("T", "d", "Untitled")}
+
+
+def test_thousands_of_literals_are_rows(spark):
+    texts = ["xkey-17y and key-2", "KEY-3", None, "", "key-4999", "a\nb key-\n12", "é漢字é", "ab", "key-1key-10"]
+    finds = [f"key-{i}" for i in range(5000)] + ["a\nb", "漢字é", "b", "", "key-\n1", "key-17y and"]
+    rules = spark.createDataFrame([(f"r{i}", f) for i, f in enumerate(finds)] + [("none", None), ("r0", "key-0")], "rule string, find string")
+    want = sorted((d, f"r{i}") for d, t in enumerate(texts) if t for i, f in enumerate(finds) if f and f in t)
+    for bound in (100_000, 10):
+        found = literal_scan(docs(spark, *texts), rules, bound)
+        assert sorted(map(tuple, found.collect())) == want
+        assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    assert literal_scan(docs(spark, "abc"), rules.limit(0)).count() == 0
