@@ -100,6 +100,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Twins in SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op7_jaccard_join": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM worded WHERE len(w) > 0) x),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT DISTINCT x AS a, x AS b FROM edges UNION SELECT a, y FROM reached JOIN edges ON x = b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reached GROUP BY a) r USING (doc_id)""",
     "op11_lexical_search": r"""
 WITH letters AS (
   SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
