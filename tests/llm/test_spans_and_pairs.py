@@ -265,4 +265,4 @@ def test_rows_that_repeat_an_id_leave_only_as_copies(llm, docs):
 def test_every_query_is_registered():
     import __spark_entry__ as entry
 
-    assert {int(m[1]) for k in entry.queries() if (m := re.match(r"op(\d+)_", k))} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(m[1]) for k in entry.queries() if (m := re.match(r"op(\d+)_", k))} == set(range(1, 14)) and "pipeline" in entry.queries()
