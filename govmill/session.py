@@ -25,7 +25,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the checkpoint folder that the cluster names.
 
-    Without that setting it lies in the session's warehouse, which every executor reaches as well.
+    Without that setting it lies in the session's warehouse: right for local sessions; on a cluster set the one or the other to a
+    folder that all executors reach.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -56,7 +56,8 @@ def ctas_replace(df: DataFrame, table: str) -> None:
     """Replace a table by a query's rows and columns.
 
     The rows are written under a new name first, so a query that fails leaves the old table whole, and a
-    query may read the table that it replaces.
+    query may read the table that it replaces. Between the drop and the renaming there is a moment without table: readers must
+    expect that, and a driver lost in it leaves the rows under the new name.
     """
     spark, new = df.sparkSession, f"{table}_{uuid.uuid4().hex[:12]}"
     try:
