@@ -9,7 +9,8 @@ least T = ceil(s (n + m) / (1 + s)) of them.
    together drop out, twice: what shares a passage with others and little else does not stay.
 2. Candidates, in two rounds. In each list (and band of lengths) all nodes are compared with the smallest one, which gives no
    more pairs than nodes; links make classes. Then the nodes of a list that are still in different classes are
-   compared with each other inside the tasks that hold the list. Pairs whose bit maps rule out the overlap that a link needs go no further.
+   compared with each other inside the tasks that hold blocks of the list: bit maps tell which may have the overlap that a link needs, these
+   come back with their sets, and the block is searched in place. What leaves it are fewer edges than it has nodes.
 3. T-occurrence search of each query in blocks of its candidates (DivideSkip): of the candidates' inverted lists the
    shorter ones are merged with a heap, the L longest are only probed by binary search, and those that reach T remain.
 
@@ -41,7 +42,7 @@ PRUNINGS = 2
 EXTRA = 10  #: a node enters one more list for each so many shingles, and has to share as many more
 FIRST_LISTS = 16  #: the smallest of its lists that a node carries, so that a pair found in many lists leaves from one
 SMALL = 24  #: nodes of a list that are compared one by one
-LIST_BLOCK = 4096  #: nodes of a list that one task compares with those of other classes
+LIST_BLOCK = 4096  #: nodes of a list, and as many of other classes, that one task compares
 BLOCK = 256  #: candidates of a query that one search takes at a time
 SEND_BOUND = 1_000_000  #: node ids that may be sent to every task (8 MB)
 
@@ -255,14 +256,7 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
                 .select("node", F.col("q.node").alias("query")).distinct())
     found = linked(known)
     # What is left in a list: nodes of other classes than its largest, against all of them.
-    lists = _labelled(posting, found)
-    sizes = lists.groupBy("h", "label").agg(F.count("*").alias("c"))
-    largest = (sizes.groupBy("h").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels"), F.sum("c").alias("size"))
-               .where("labels > 1").select("h", F.col("top.label").alias("top"), F.ceil(F.col("size") / LIST_BLOCK).alias("blocks")))
-    rest = cut(_across(lists, largest, reps, percent))
-    for turned in (known, known.select(F.col("node").alias("query"), F.col("query").alias("node"))):
-        rest = rest.join(turned, ["node", "query"], "left_anti")
-    return found.unionByName(linked(rest))
+    return found.unionByName(_across(_labelled(posting, found), reps, docs, size, percent))
 
 
 def close_pairs(n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], others: int, percent: int) -> list[tuple[int, int]]:
@@ -310,46 +304,118 @@ def few_pairs(n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], others:
     return out
 
 
-def _across(lists: DataFrame, largest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(node, query) of different classes that share a list and may link, found inside the tasks that hold blocks of lists.
+def pairs_to_check(n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], others: int, percent: int) -> list[tuple[int, int]]:
+    return (few_pairs if len(n) <= SMALL else close_pairs)(n, label, bits, others, percent)
+
 
-    Nodes outside the largest class of a list go to each of its blocks; pairs are compared by size and bit map where they
-    meet, and only those that may link leave the task.
+def _dealt(lists: DataFrame, facts: DataFrame) -> DataFrame:
+    """The nodes of lists of several classes, in blocks: a node outside the largest class (role 0) meets all nodes (role 1) of its list.
+
+    A task holds one block of the former and one of the latter, however long a list is.
+    """
+    sizes = lists.groupBy("h", "label").agg(F.count("*").alias("c"))
+    blocks = (sizes.groupBy("h").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels"), F.sum("c").alias("size"))
+              .where("labels > 1")
+              .select("h", F.col("top.label").alias("top"), F.ceil(F.col("size") / LIST_BLOCK).alias("blocks"),
+                      F.ceil((F.col("size") - F.col("top.c")) / LIST_BLOCK).alias("others")))
+    members = lists.join(blocks, "h").join(facts, "node")
+    mine = lambda many: F.pmod(F.xxhash64("node"), many)
+    each = lambda many: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(many) - 1))
+    columns = ["h", "block", "other", "role", "node", "n", "label", "bits", "lists"]
+    inside = members.withColumn("block", mine("blocks")).withColumn("other", each("others")).withColumn("role", F.lit(1))
+    outside = members.where("label != top").withColumn("block", each("blocks")).withColumn("other", mine("others")).withColumn("role", F.lit(0))
+    return (inside.select(columns).unionByName(outside.select(columns)).repartition(width(lists.sparkSession), "h", "block", "other")
+            .sortWithinPartitions("h", "block", "other", "role"))
+
+
+def _marked(dealt: DataFrame, percent: int) -> DataFrame:
+    """(h, block, other, role, node): the nodes of each block that size and bit map let link with one of another class there.
+
+    A pair marks its nodes in the first list that both are in, if that is known: the smallest common one of their first lists.
     """
-    least = lists.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("h")), 1, FIRST_LISTS).alias("lists"))
-    members = lists.join(largest, "h").join(reps.select("node", "bits").join(least, "node"), "node")
-    columns = ["h", "block", "role", "node", "n", "label", "bits", "lists"]
-    block = F.pmod(F.xxhash64("node"), "blocks")
-    inside = members.withColumn("block", block).withColumn("role", F.lit(1)).select(columns)
-    outside = (members.where("label != top").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-               .withColumn("role", F.lit(0)).select(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, bound in whole_runs(batches, ["h", "block"]):
+        for part, bound in whole_runs(batches, ["h", "block", "other"]):
             h, node, n, label, role = (part.column(c).to_numpy() for c in ("h", "node", "n", "label", "role"))
             bits, lists_ = (part.column(c) for c in ("bits", "lists"))
             maps, at = bits.values.to_numpy().view(np.uint64), bits.offsets.to_numpy().tolist()
             first, to = lists_.values.to_numpy(), lists_.offsets.to_numpy().tolist()
-            found = set()
+            marks = np.zeros(part.num_rows, bool)
             for a, b in zip(bound[:-1], bound[1:], strict=True):
-                others = int(np.searchsorted(role[a:b], 1)) if b - a > SMALL else sum(r == 0 for r in role[a:b].tolist())
+                others = int(np.searchsorted(role[a:b], 1))
                 if not others:
                     continue
                 some = [maps[at[i]: at[i + 1]] for i in range(a, b)]
-                pairs = (few_pairs if b - a <= SMALL else close_pairs)(n[a:b], label[a:b], some, others, percent)
-                for i, j in pairs:
-                    # A pair leaves from the first list that both are in, if that is known: the smallest common one of their first lists.
+                for i, j in pairs_to_check(n[a:b], label[a:b], some, others, percent):
                     x, y = a + i, a + j
+                    if marks[x] and marks[y]:
+                        continue
                     common = set(first[to[x]: to[x + 1]].tolist()) & set(first[to[y]: to[y + 1]].tolist())
                     if min(common, default=h[a]) == h[a]:
-                        found.add((min(node[x], node[y]), max(node[x], node[y])))
+                        marks[x] = marks[y] = True
+            if marks.any():
+                yield part.select(["h", "block", "other", "role", "node"]).filter(pa.array(marks))
+
+    return dealt.mapInArrow(run, "h bigint, block bigint, other bigint, role int, node bigint")
+
+
+class Classes:
+    """Union-find over the nodes of a block; nodes of one label start in one class."""
+
+    def __init__(self, label: np.ndarray):
+        self.root = np.unique(label, return_inverse=True)[1]
+
+    def join(self, i: int, j: int) -> bool:
+        x, y = self.root[i], self.root[j]
+        if x == y:
+            return False
+        self.root[self.root == y] = x
+        return True
+
+
+def block_links(node: np.ndarray, n: np.ndarray, label: np.ndarray, bits: list[np.ndarray], sets: list[np.ndarray],
+                others: int, percent: int) -> list[tuple[int, int]]:
+    """Linked pairs of nodes that join all classes of a block that links join: at most one less than classes."""
+    classes, out = Classes(label), []
+    candidates: dict[int, list[int]] = {}
+    for i, j in pairs_to_check(n, label, bits, others, percent):
+        candidates.setdefault(i, []).append(j)
+    for i, js in candidates.items():
+        some = np.array(js)
+        for at in range(0, len(some), BLOCK):
+            apart = some[at: at + BLOCK]
+            apart = apart[classes.root[apart] != classes.root[i]]
+            if len(apart):
+                hits = search(sets[i], [sets[j] for j in apart.tolist()], percent)
+                out += [(int(node[i]), int(node[j])) for j in apart[sorted(hits)].tolist() if classes.join(i, j)]
+    return out
+
+
+def _across(lists: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) that join the classes of nodes that share a list.
+
+    First the tasks that hold the blocks of lists tell which nodes may link there, then these blocks are dealt again with the sets of those nodes,
+    and each is searched where it lies. Pairs never leave a task: what does are nodes of a block, and edges fewer than these.
+    """
+    least = lists.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("h")), 1, FIRST_LISTS).alias("lists"))
+    marked = cut(_marked(_dealt(lists, reps.select("node", "bits").join(least, "node")), percent))
+    wanted = reps.join(marked.select("node").distinct(), "node", "left_semi")
+    label = lists.groupBy("node").agg(F.first("label").alias("label"))
+    facts = wanted.select("node", "n", "bits").join(label, "node").join(sets_of(docs, wanted, size), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["h", "block", "other"]):
+            node, n, label, role = (group.column(c).to_numpy() for c in ("node", "n", "label", "role"))
+            sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+            bits = [np.array(x, np.int64).view(np.uint64) for x in group.column("bits").to_pylist()]
+            found = block_links(node, n, label, bits, sets, int(np.searchsorted(role, 1)), percent)
             if found:
-                query, other = zip(*sorted(found), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(other, pa.int64()), pa.array(query, pa.int64())], names=["node", "query"])
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    dealt = (inside.unionByName(outside).repartition(width(lists.sparkSession), "h", "block")
-             .sortWithinPartitions("h", "block", "role"))
-    return dealt.mapInArrow(run, "node bigint, query bigint").distinct()
+    again = (marked.join(facts, "node").select("h", "block", "other", "role", "node", "n", "label", "bits", "shingles")
+             .repartition(width(lists.sparkSession), "h", "block", "other").sortWithinPartitions("h", "block", "other", "role"))
+    return cut(again.mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _crowded(posting: DataFrame) -> DataFrame:
