@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from govmill.llm import ragged, words
-from govmill.llm.shared import cut, small_enough
+from govmill.llm.shared import cut, give_back, small_enough
 
 ORDER = 5
 PAD = "\x02"  #: stands before the first character of a text
@@ -332,5 +332,6 @@ def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
                 langs = ["" if x is None else str(x) for x in part.column(lang_col).to_pylist()]
                 mean, limit = np.array([known.get(x, rest) for x in langs], float).reshape(-1, 2).T
                 yield part.filter(pa.array((cost + PRIOR * mean) / (n + PRIOR) <= limit))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -59,6 +61,15 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: its worker lives on and would keep it through the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
