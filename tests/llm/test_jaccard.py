@@ -109,3 +109,27 @@ def test_bit_maps_never_rule_out_a_link():
         found = J.close_pairs(np.array([len(a), len(b)]), np.array([1, 2]), maps, 1, 80)
         if 100 * both >= 80 * (len(a) + len(b) - both):
             assert (0, 1) in found
+
+
+def test_edges_of_a_block_join_what_its_links_join():
+    pick = np.random.default_rng(11)
+    for others in (3, 8):
+        for count in (10, 40):  # compared one by one, and as arrays
+            base = pick.integers(1, 1 << 62, 40).astype(np.uint64)
+            sets = []
+            for _ in range(count):
+                own = base.copy()
+                own[pick.integers(0, 40, int(pick.integers(0, 9)))] = pick.integers(1, 1 << 62, 1).astype(np.uint64)
+                sets.append(np.unique(own))
+            n, label = np.array([len(x) for x in sets]), pick.integers(0, 6, count)
+            bits, at = J.parity_bits(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]))
+            maps = [bits[x:y].view(np.uint64) for x, y in zip(at[:-1], at[1:], strict=True)]
+            links = {(i, j) for i in range(others) for j in range(count)
+                     if label[i] != label[j] and 180 * len(np.intersect1d(sets[i], sets[j])) >= 80 * (n[i] + n[j])}
+            edges = J.block_links(np.arange(count), n, label, maps, sets, others, 80)
+            assert set(edges) <= links and len(edges) < len(set(label.tolist()))
+            want, got = J.Classes(label), J.Classes(label)
+            for c, pairs in ((want, links), (got, edges)):
+                for i, j in pairs:
+                    c.join(i, j)
+            assert all((want.root[i] == want.root[j]) == (got.root[i] == got.root[j]) for i in range(count) for j in range(count))
