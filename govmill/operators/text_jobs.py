@@ -92,7 +92,7 @@ def leak_scan(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> Dat
     return docs.select("doc_id", F.inline_outer(hits)).filter("rule IS NOT NULL")
 
 
-#: Literals whose grams are held against each text inside one expression; more are joined as rows.
+#: Different literals whose grams are held against each text inside one expression; more are joined as rows.
 RULE_BOUND = 50_000
 GRAM = 4
 
@@ -102,37 +102,40 @@ def _grams(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
 
 
-def rule_index(rules: DataFrame) -> DataFrame:
-    """(gram, rule, find): each literal under the one of its grams that the fewest literals share; shorter literals under a null."""
-    every = rules.select("rule", "find").filter("find <> ''").distinct()
-    grams = every.filter(F.length("find") >= GRAM).select("rule", "find", F.explode(F.array_distinct(_grams(F.col("find")))).alias("gram"))
+def find_index(rules: DataFrame) -> DataFrame:
+    """(gram, find): each different literal under the one of its grams that the fewest literals share; shorter literals under a null."""
+    every = rules.select("find").filter("find <> ''").distinct()
+    grams = every.filter(F.length("find") >= GRAM).select("find", F.explode(F.array_distinct(_grams(F.col("find")))).alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("n"))
-    best = grams.join(shared, "gram").groupBy("rule", "find").agg(F.min(F.struct("n", "gram")).alias("_b")).select("_b.gram", "rule", "find")
-    return best.unionByName(every.filter(F.length("find") < GRAM).select(F.lit(None).cast("string").alias("gram"), "rule", "find"))
+    best = grams.join(shared, "gram").groupBy("find").agg(F.min(F.struct("n", "gram")).alias("_b")).select("_b.gram", "find")
+    return best.unionByName(every.filter(F.length("find") < GRAM).select(F.lit(None).cast("string").alias("gram"), "find"))
 
 
 def literal_scan(docs: DataFrame, rules: DataFrame, bound: int = RULE_BOUND) -> DataFrame:
     """(doc_id, rule) for every row of ``docs`` and every literal in its text; ``rules`` are rows of (rule, find), so thousands of them
     are data and not parts of the plan.
 
-    A text is cut into grams once; only literals whose gram it has are looked for. With up to ``bound`` literals the grams of the
-    index are one array that each text's grams are held against; beyond that both sides meet in a join on the gram, and
-    texts are joined again for the literals found that way. Null texts and empty literals match nothing.
+    Texts are searched for different literals; the rules that share a literal are joined to what was found. A text is cut into grams once;
+    only literals whose gram it has are looked for. With up to ``bound`` different literals the grams of the index are one array that each
+    text's grams are held against; beyond that, grams that no literal lies under are dropped first, the others meet the literals in
+    a join on the gram, and texts are joined again for the literals found that way. Null texts and empty literals match nothing.
     """
-    index = stored(rule_index(rules))
+    index = stored(find_index(rules))
     rows = docs.select("doc_id", "text").filter("text IS NOT NULL")
     # Literals of less than GRAM characters: there are few different ones, and each text is searched for all of them at once.
-    short = index.filter("gram IS NULL").agg(F.collect_list(F.struct("rule", "find"))).scalar()
-    tiny = rows.withColumn("_short", short).select("doc_id", F.inline(F.filter("_short", lambda r: F.contains(F.col("text"), r["find"])))).select("doc_id", "rule")
+    short = index.filter("gram IS NULL").agg(F.collect_list("find")).scalar()
+    tiny = rows.withColumn("_short", short).select("doc_id", F.explode(F.filter("_short", lambda f: F.contains(F.col("text"), f))).alias("find"))
     long = index.filter("gram IS NOT NULL")
     if long.limit(bound + 1).count() <= bound:
         known = long.agg(F.collect_set("gram")).scalar()
         found = rows.select("doc_id", "text", F.explode(F.array_intersect(_grams(F.col("text")), known)).alias("gram")).join(F.broadcast(long), "gram")
     else:
         kept = stored(rows.withColumn("_row", F.monotonically_increasing_id()))
-        hit = kept.select("_row", F.explode(F.array_distinct(_grams(F.col("text")))).alias("gram")).join(long, "gram").select("_row", "rule", "find")
-        found = kept.join(hit, "_row")
-    return found.filter(F.contains("text", "find")).select("doc_id", "rule").unionByName(tiny)
+        known = stored(long.select("gram").distinct())
+        cut = kept.select("_row", F.explode(F.array_distinct(_grams(F.col("text")))).alias("gram")).join(known, "gram", "left_semi")
+        found = kept.join(cut.join(long, "gram").select("_row", "find"), "_row")
+    found = found.filter(F.contains("text", "find")).select("doc_id", "find").unionByName(tiny)
+    return found.join(rules.select("rule", "find").distinct(), "find").select("doc_id", "rule")
 
 
 def leak_verdict(findings: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import json
 
 from govmill.operators.text_jobs import (
-    FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, leak_scan, literal_scan, leak_verdict, redact_text, redaction_report, report_lineage, table_usage,
+    FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, find_index, leak_scan, literal_scan, leak_verdict, redact_text, redaction_report, report_lineage, table_usage,
     visual_catalog, visual_references,
 )
 
@@ -73,3 +73,16 @@ def test_thousands_of_literals_are_rows(spark):
         assert sorted(map(tuple, found.collect())) == want
         assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
     assert literal_scan(docs(spark, "abc"), rules.limit(0)).count() == 0
+
+
+def test_rules_that_share_a_literal_are_not_searched_one_by_one(spark):
+    # Each of the six texts meets the grams of one literal, not of the thousand rules that have it.
+    rules = spark.range(3000).selectExpr("concat('r', id) AS rule", "concat('common part ', id % 3) AS find")
+    texts = ["a common part 1", "common part", "common part 2 common part 0", None, "b common part 1", "c"]
+    assert find_index(rules).count() == 3
+    want = sorted((d, f"r{i}") for d, t in enumerate(texts) if t for i in range(3000) if f"common part {i % 3}" in t)
+    for bound in (100_000, 3, 2):
+        found = literal_scan(docs(spark, *texts), rules, bound)
+        assert sorted(map(tuple, found.collect())) == want
+        # Three literals stay in one expression, for a bound of three: rules do not count.
+        assert ("_row" in found._jdf.queryExecution().optimizedPlan().toString()) == (bound == 2)
