@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from govmill.operators.text_jobs import (
     FORBIDDEN_PATTERNS, REDACTION_PATTERNS, Rule, find_index, leak_scan, literal_scan, leak_verdict, redact_text, redaction_report, report_lineage, table_usage,
     visual_catalog, visual_references,
@@ -86,3 +88,11 @@ def test_rules_that_share_a_literal_are_not_searched_one_by_one(spark):
         assert sorted(map(tuple, found.collect())) == want
         # Three literals stay in one expression, for a bound of three: rules do not count.
         assert ("_row" in found._jdf.queryExecution().optimizedPlan().toString()) == (bound == 2)
+
+
+def test_definitions_of_one_file_are_taken_apart_by_many_tasks(spark):
+    rows = [(f"v{i}", "p", "x", json.dumps(nested(2, f"T{i % 7}"))) for i in range(400)]
+    df = spark.createDataFrame(rows, "visual_id string, page_id string, path string, definition string").coalesce(1)
+    for made in (visual_references(df), visual_catalog(df)):
+        dealt = sorted(r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect())
+        assert len(dealt) == 4 and dealt[0] >= 90 and sum(dealt) == 400
