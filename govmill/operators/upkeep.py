@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from govmill.operators.timeseries import previous_row
+from govmill.operators.timeseries import previous_row, tie
 
 
 class LateRows(ValueError):
@@ -24,7 +24,8 @@ def extend_deltas(new: DataFrame, keys: Sequence[str], time: str, values: Sequen
 
     Reads the new rows and the last row of every key as run ``run - 1`` left it, and leaves the last rows for the next run. Rows have a time
     and are newer than the last row of their key; otherwise the run fails before it writes anything, for a late row would also
-    change the row after it, which an earlier run gave out (the alert stream judges such rows again).
+    change the row after it, which an earlier run gave out (the alert stream judges such rows again). Rows with one key and time
+    come in one run and stand in the order that they have over the whole history.
     """
     spark = new.sparkSession
     held = list(dict.fromkeys([*keys, time, *values]))
@@ -36,10 +37,11 @@ def extend_deltas(new: DataFrame, keys: Sequence[str], time: str, values: Sequen
     late = new.join(ends if keys else F.broadcast(ends), same, "left").filter(F.col(time).isNull() | (F.col(time) <= F.col("_at")))
     if late.limit(1).count():
         raise LateRows(f"run {run} has rows without time, or not newer than the last row of their key")
-    marked = new.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-    fresh = previous_row(marked, keys, time, values).filter("_new").drop("_new")
+    # The order among equal times is that of the rows alone; a last row has no equal, since no new row is as old.
+    marked = new.withColumns({"_new": F.lit(True), "_tie": tie(new)}).unionByName(last.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    fresh = previous_row(marked, keys, time, values).filter("_new").drop("_new", "_tie")
     fresh.write.mode("overwrite").parquet(f"{folder}/deltas/run={run}")
-    newest = marked.groupBy(*keys).agg(F.max_by(F.struct(*held), time).alias("_r")).filter("_r IS NOT NULL").select("_r.*")
+    newest = marked.groupBy(*keys).agg(F.max_by(F.struct(*held), F.struct(time, "_tie")).alias("_r")).filter("_r IS NOT NULL").select("_r.*")
     newest.write.mode("overwrite").parquet(f"{folder}/last/run={run}")
     return spark.read.schema(fresh.schema).parquet(f"{folder}/deltas/run={run}")
 

@@ -118,3 +118,14 @@ def test_rollups_build_only_the_days_that_new_rows_touch(spark, tmp_path):
         seen.append(len(built & set(tmp_path.glob("t/d=*/*.parquet"))))
     assert seen[-1] == 2  # of three days, the two that the last row does not fall into keep their files
     assert rows(upkeep.read_days(spark, f"{tmp_path}/t", "d")) == rows(drift.asset_totals_by_snapshot(spark.createDataFrame(data, schema)))
+
+
+def test_deltas_in_steps_keep_the_order_of_rows_with_one_time(spark, tmp_path):
+    schema = "key string, ts timestamp, v bigint"
+    data = [(f"k{i % 2}", START + dt.timedelta(hours=i // 20), (i * 37) % 1000) for i in range(200)]
+    for keys in (["key"], []):
+        got = []
+        for i, (a, b) in enumerate([(0, 60), (60, 120), (120, 200)]):
+            new = spark.createDataFrame(data[a:b], schema)
+            got += rows(upkeep.extend_deltas(new, keys, "ts", ["ts", "v"], folder=f"{tmp_path}/{len(keys)}", run=i))
+        assert sorted(got) == rows(previous_row(spark.createDataFrame(data, schema), keys, "ts", ["ts", "v"]))
