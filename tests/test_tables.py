@@ -98,3 +98,12 @@ def test_lost_state_is_an_error(spark, tmp_path):
         spark.read.schema(schema).parquet(f"{tmp_path}/nothing").collect()
     snapshots._began(spark, f"{tmp_path}/new", schema, begins=True)
     assert spark.read.schema(schema).parquet(f"{tmp_path}/new").count() == 0
+
+
+def test_merge_keeps_one_row_per_key_however_rows_arrive(spark, inputs):
+    data = [(T0, 2), (T0, 1), (None, 3), (None, 4), (T0 + dt.timedelta(days=1), 5)]
+    df = spark.createDataFrame(data, "SnapshotUtc timestamp, n int")
+    table = f"{inputs.database()}.h"
+    for _ in range(2):
+        tables.merge_insert_only(df, table, ["SnapshotUtc"])
+    assert sorted(r.n for r in spark.table(table).collect()) == [1, 3, 5]
