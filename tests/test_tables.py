@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from govmill.functions import schemas
 from govmill.session import shared_folder
@@ -107,3 +107,10 @@ def test_merge_keeps_one_row_per_key_however_rows_arrive(spark, inputs):
     for _ in range(2):
         tables.merge_insert_only(df, table, ["SnapshotUtc"])
     assert sorted(r.n for r in spark.table(table).collect()) == [1, 3, 5]
+
+
+def test_a_small_file_of_large_rows_is_not_broadcast(spark, tmp_path):
+    spark.range(1_500_000).selectExpr("pmod(xxhash64(id), 1000) AS k", "repeat(cast(pmod(hash(id), 10) AS string), 100) AS v").coalesce(1).write.parquet(f"{tmp_path}/t")
+    assert sum(p.stat().st_size for p in tmp_path.glob("t/*.parquet")) < 10_000_000  # Spark's limit, which the rows pass 16 times
+    joined = spark.range(30_000_000).join(spark.read.parquet(f"{tmp_path}/t"), F.col("id") == F.col("k"))
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
