@@ -16,11 +16,19 @@ from govmill.llm.shared import checkpoint_folder, ship, small_enough
 
 #: Documents that leave may be sent to every task as ids, if they are at most so many (16 MB).
 SEND_BOUND = 1_000_000
+#: Bytes that Python gets at a time; one longer text is a batch of its own. Spark's own limit is 64 MB, held several times over by both sides of each task.
+BATCH_BYTES = 1 << 20
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session, with the package shipped and small batches to Python. The setting stays, for frames are computed after their stage returns."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return ship(spark)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of trusted text does not reject."""
-    return quality_lm.kept(docs, ship(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_lm.kept(docs, ready(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +37,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Only the keys that leave are looked up. Where ids repeat, a row's key is its id and text: texts of one id are documents of their own.
     Of rows with equal id and text the first by the other columns stays; texts without a word are copies of nothing and stay.
     """
-    ship(spark)
+    ready(spark)
     named = docs.where("doc_id is not null")
     if not named.groupBy("doc_id").count().where("count > 1").limit(1).count():
         classes = jaccard_join.jaccard_classes(docs)
@@ -47,7 +55,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.clean(docs, ship(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.clean(docs, ready(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +65,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document (little-endian 32-bit), their number, and whether decoding gives the text back."""
-    ship(spark)
+    ready(spark)
     coded = byte_bpe.round_trip(docs.withColumn("source_text", F.encode(F.coalesce("text", F.lit("")), "UTF-8")),
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return coded.select("doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids", (F.col("decoded") == F.col("source_text")).alias("lossless"))
@@ -72,7 +80,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; what each stage keeps is written to the shared folder and read again by the next."""
-    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -93,3 +93,21 @@ def test_long_columns_are_cut_into_slices():
     from govmill.llm import words
 
     assert sum(x.num_rows for x in words.slices(batch, "text", 1500)) == 4
+
+
+def test_the_pipeline_sends_texts_to_python_in_small_batches(llm):
+    import corpus_pipeline
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = llm.range(40, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 20000) AS text", "'en' AS lang", "'own' AS source", "220000 AS n_chars")
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"rows": [x.num_rows], "bytes": [x.nbytes]}) for x in batches)
+
+    try:
+        coded = corpus_pipeline.encoded(llm, docs, "")
+        got = docs.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+        assert coded.where("lossless").count() == 40 == sum(x.rows for x in got)
+        assert max(x.bytes for x in got) < 2 * corpus_pipeline.BATCH_BYTES
+    finally:
+        llm.conf.unset(limit)
