@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from govmill.session import stored
+from govmill.session import spread, stored
 
 
 @dataclass(frozen=True)
@@ -176,16 +176,8 @@ def references(definition: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), levels), start, step)
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """The rows dealt out evenly over the shuffle partitions.
-
-    Taking a definition apart costs far more than sending it, and a file of few row groups would be read, and taken apart, by one task.
-    """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def visual_references(visuals: DataFrame) -> DataFrame:
-    r = _spread(visuals.select("visual_id", "page_id", "definition")).select("visual_id", "page_id", references(F.col("definition")).alias("_r"))
+    r = spread(visuals.select("visual_id", "page_id", "definition")).select("visual_id", "page_id", references(F.col("definition")).alias("_r"))
     return r.select("visual_id", "page_id", F.array_sort("_r.entities").alias("entities"),
                     F.array_sort("_r.properties").alias("properties"))
 
@@ -215,7 +207,7 @@ def visual_catalog(visuals: DataFrame) -> DataFrame:
         return F.coalesce(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), F.lit("unknown"))
 
     title = F.trim(told("$.visual.visualContainerObjects.title[0].properties.text.expr.Literal.Value"), F.lit("'"))
-    return _spread(visuals.select("visual_id", "path", "definition")).select(
+    return spread(visuals.select("visual_id", "path", "definition")).select(
         "visual_id", F.coalesce(told("$.visual.visualType"), F.lit("unknown")).alias("visual_type"), F.coalesce(title, F.lit("Untitled")).alias("title"),
         part("([^/]+)__Report/").alias("report"), part("/pages/([^/]+)/").alias("page"))
 

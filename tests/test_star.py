@@ -65,3 +65,7 @@ def test_schema_differences_are_counted(spark):
     got = {r.column: (r.issue, r.filled) for r in schema_diff_counts(df, target).collect()}
     assert got == {"id": ("TYPE MISMATCH", 2), "extra": ("ONLY IN DF", 1), "gone": ("ONLY IN TABLE", None)}
     assert schema_diff_counts(df, df.schema).count() == 0
+
+
+def test_resources_of_a_small_file_are_dealt_out(inputs):
+    assert inputs.resource.selectExpr("spark_partition_id() AS p").distinct().count() > 2
