@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import types as T
 
+from govmill import registry
 from govmill.functions.schemas import schema_diff_counts
-from govmill.operators import evidence, measures, star
+from govmill.inputs import Inputs
+from govmill.operators import evidence, measures, scores, star
 
 
 def test_inactive_relationships_are_followed_only_on_request():
@@ -69,3 +71,13 @@ def test_schema_differences_are_counted(spark):
 
 def test_resources_of_a_small_file_are_dealt_out(inputs):
     assert inputs.resource.selectExpr("spark_partition_id() AS p").distinct().count() > 2
+
+
+def test_all_scorecards_of_the_report_models_read_one_table_of_evidence(spark, sf_dir, monkeypatch):
+    def never(*args):
+        raise AssertionError("resources were gathered again")
+
+    monkeypatch.setattr(scores, "resource_rollup", never)
+    monkeypatch.setattr(scores, "tag_evidence", never)
+    monkeypatch.setattr(evidence, "prefer_applicable_resource", never)
+    registry.star_rows(Inputs(spark, sf_dir))
