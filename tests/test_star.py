@@ -81,3 +81,9 @@ def test_all_scorecards_of_the_report_models_read_one_table_of_evidence(spark, s
     monkeypatch.setattr(scores, "tag_evidence", never)
     monkeypatch.setattr(evidence, "prefer_applicable_resource", never)
     registry.star_rows(Inputs(spark, sf_dir))
+
+
+def test_saved_filters_classify_the_columns_once(spark, sf_dir):
+    d = Inputs(spark, sf_dir)
+    registry.saved_filter_rows(d)
+    assert {"classification", "gold"} <= set(d._stored)
