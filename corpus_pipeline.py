@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govmill.llm import byte_bpe, decontaminate, jaccard_join, pii, quality_lm
-from govmill.llm.shared import checkpoint_folder, ship, small_enough
+from govmill.llm.shared import checkpoint_folder, ship, small_enough, stored
 
 #: Documents that leave may be sent to every task as ids, if they are at most so many (16 MB).
 SEND_BOUND = 1_000_000
@@ -41,11 +41,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.where("doc_id is not null")
     if not named.groupBy("doc_id").count().where("count > 1").limit(1).count():
         classes = jaccard_join.jaccard_classes(docs)
-        gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
+        gone = stored(classes.where("component_id <> doc_id").select("doc_id").distinct())
         return docs.join(F.broadcast(gone) if small_enough(gone, SEND_BOUND) else gone, "doc_id", "left_anti").select(docs.columns)
     row_key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text")))
     classes = jaccard_join.jaccard_classes(docs.select(row_key.alias("_key"), "text"), "_key")
-    gone = classes.where("component_id <> _key").select("_key").distinct()
+    gone = stored(classes.where("component_id <> _key").select("_key").distinct())
     keyed = docs.withColumn("_key", row_key)
     stays = keyed.join(F.broadcast(gone) if small_enough(gone, SEND_BOUND) else gone, "_key", "left_anti")
     again = keyed.where(F.col("_key").isNotNull() & F.col("text").rlike("[^ \\t-\\r]")).groupBy("_key").count().where("count > 1").select("_key")

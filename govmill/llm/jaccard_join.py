@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from govmill.llm import words
 from govmill.llm.ragged import mixed
-from govmill.llm.shared import components, cut, runs, small_enough, whole_runs, width
+from govmill.llm.shared import components, cut, runs, small_enough, stored, whole_runs, width
 
 SAMPLE_DOCS = 8192  #: about so many documents tell which shingles are frequent
 FREQUENT = 4  #: in so many of them
@@ -245,9 +245,9 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
     reps = cut(reps.drop("prefix").join(posting.select("node").distinct(), "node", "left_semi"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = cut(possible(pairs, reps, percent))
+        pairs = stored(possible(pairs, reps, percent))
         nodes_ = pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))).distinct()
-        return cut(verify(pairs, sets_of(docs, reps.select("id", "node").join(nodes_, "node", "left_semi"), size), percent))
+        return stored(verify(pairs, sets_of(docs, reps.select("id", "node").join(nodes_, "node", "left_semi"), size), percent))
 
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
     lists = posting.withColumn("band", band)
@@ -415,7 +415,7 @@ def _across(lists: DataFrame, reps: DataFrame, docs: DataFrame, size: int, perce
 
     again = (marked.join(facts, "node").select("h", "block", "other", "role", "node", "n", "label", "bits", "shingles")
              .repartition(width(lists.sparkSession), "h", "block", "other").sortWithinPartitions("h", "block", "other", "role"))
-    return cut(again.mapInArrow(run, "a bigint, b bigint").distinct())
+    return stored(again.mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _crowded(posting: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from govmill.llm import ragged, words
-from govmill.llm.shared import cut, give_back, small_enough
+from govmill.llm.shared import cut, give_back, small_enough, stored
 
 ORDER = 5
 PAD = "\x02"  #: stands before the first character of a text
@@ -118,10 +118,10 @@ def _discounts(counts: DataFrame) -> list[float]:
 def model(trusted: DataFrame) -> DataFrame:
     """(gram, logp, backoff): of every piece of 1 to 5 characters its log-probability after the characters before its last, and
     the log back-off weight of a piece as a context. The empty piece carries the back-off to unknown characters."""
-    counts = {ORDER: cut(gram_counts(trusted))}
+    counts = {ORDER: stored(gram_counts(trusted))}
     for k in range(ORDER - 1, 0, -1):
         counts[k] = counts[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("c"))
-        counts[k] = cut(counts[k])
+        counts[k] = stored(counts[k])
     lower = None
     tables = []
     for k in range(1, ORDER + 1):
@@ -139,13 +139,13 @@ def model(trusted: DataFrame) -> DataFrame:
                       .join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix"))
             below = F.col("below")
         p = joined.select("gram", (F.col("rest") / F.col("total") + F.col("freed") / F.col("total") * below).alias("p"))
-        lower = cut(p)
+        lower = stored(p)
         weight = F.log(F.col("freed") / F.col("total"))
         if k == 1:
             weight = weight - math.log(kinds)  # the empty context leads to the even distribution
         tables += [lower.select("gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("backoff")),
                    context.select(F.col("context").alias("gram"), F.lit(None).cast("double").alias("logp"), weight.alias("backoff"))]
-    return cut(reduce(DataFrame.unionByName, tables).groupBy("gram").agg(F.max("logp").alias("logp"), F.max("backoff").alias("backoff")))
+    return stored(reduce(DataFrame.unionByName, tables).groupBy("gram").agg(F.max("logp").alias("logp"), F.max("backoff").alias("backoff")))
 
 
 class Table:

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import sys
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -38,12 +39,29 @@ def cut(df: DataFrame, last_use: bool = False) -> DataFrame:
     done = df.checkpoint(eager=True)
     if last_use:
         del df
-    # What was behind the cut is no longer reachable: let Spark remove its shuffle files now, not when memory runs low.
-    gc.collect()
-    context._jvm.System.gc()
+    _collect(done.sparkSession)
     return done
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of `df` as parquet files in the shared folder, for small frames that are read again and again.
+
+    A scan packs many small files into one task; a checkpoint is read by as many tasks as wrote it, and the driver keeps a record of every task.
+    Neither the partitions nor the order of rows stay.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _collect(df.sparkSession)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _collect(spark: SparkSession) -> None:
+    """What was behind a cut is no longer reachable: let Spark remove its shuffle files now, not when memory runs low."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    give_back()
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -85,26 +103,30 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of two steps: every node sends the smallest of its neighbours to the larger ones, then to the smaller ones,
     until all edges point at the smallest node of their component. Each round is two aggregations with map-side minima and
     two joins that Spark can split, so a node with very many edges does not pile up in one task. The number of rounds
-    grows with the logarithm of the longest path.
+    grows with the logarithm of the longest path; no round runs once all edges are such stars.
     """
-    pairs = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
-    while True:
+    pairs = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
+    while not stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = cut(large)
+        large = pairs.join(least.select(F.col("a").alias("b"), "m"), "b").select("a", F.col("m").alias("b")).distinct()
+        large = stored(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         star = small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = cut(star.unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct())
-        changed = after.join(pairs, ["a", "b"], "left_anti").limit(1).count() or pairs.join(after, ["a", "b"], "left_anti").limit(1).count()
-        pairs = after
-        if not changed:
-            break
+        pairs = stored(star.unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct())
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
+def stars(pairs: DataFrame) -> bool:
+    """Whether different pairs (a, b), a > b, make stars: each a has one b, and no b is an a. Then b is the smallest node of its component."""
+    ends = pairs.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        pairs.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    found = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not found.where("up > 1 or (up = 1 and down = 1)").limit(1).count()
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of equal keys of a sorted stream of batches, also those that go on in the next batch."""
     held: list[pa.RecordBatch] = []

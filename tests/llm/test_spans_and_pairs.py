@@ -235,6 +235,57 @@ def test_chats_are_repaired_at_least_cost(llm, monkeypatch, block):
     assert chat_repair.repaired(llm.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
 
 
+def tasks_of(spark, name, work):
+    """What `work` gives, and how many tasks the driver has recorded for it."""
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    try:
+        out = work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {k for j in tracker.getJobIdsForGroup(name) for k in tracker.getJobInfo(j).stageIds}
+    return out, sum(tracker.getStageInfo(k).numCompletedTasks for k in stages if tracker.getStageInfo(k))
+
+
+def test_near_copies_leave_few_tasks_for_the_driver_to_record(llm, docs):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join(words[k % 8: k % 8 + 120] + [f"own{k // 8}"])) for k in range(64)]
+    set_to = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: llm.conf.get(k) for k in set_to}
+    for k, v in set_to.items():
+        llm.conf.set(k, v)
+    try:
+        kept, n = tasks_of(llm, "few-tasks", lambda: {r[0] for r in corpus_pipeline.near_copies(llm, docs(rows), "").collect()})
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+    assert kept == {0}
+    assert n < 3000  # 2,074; 4,174 when frames were checkpoints and the classes were made twice
+
+
+def test_components_of_stars_and_paths(llm):
+    from govmill.llm.shared import components, stars
+
+    path = [(k, k + 1) for k in range(20)]
+    star = [(100, k) for k in range(101, 140)]
+    tree = [(k // 2, k) for k in range(402, 460)]
+    frame = lambda rows: llm.createDataFrame(rows, "a bigint, b bigint")
+    assert stars(frame([(b, a) for a, b in star])) and not stars(frame([(b, a) for a, b in path])) and stars(frame([]))
+    _, n = tasks_of(llm, "one-star", lambda: components(frame(star)).collect())
+    _, most = tasks_of(llm, "one-path", lambda: components(frame(path)).collect())
+    assert n < most
+    root: dict[int, int] = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in path + star + tree:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r["node"]: r["label"] for r in components(frame(path + star + tree + star[:5])).collect()}
+    assert got == {k: find(k) for k in root}
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(llm, sf_dir):
     import corpus_pipeline
 
