@@ -35,6 +35,14 @@ def run_stream(spark, folder, parts, buckets=8):
     return snapshots.current_alerts(spark, f"{folder}/state", f"{folder}/alerts")
 
 
+def test_tasks_of_an_alert_batch_are_bounded_in_its_own_session(spark, tmp_path, monkeypatch):
+    name, seen, judge = "spark.sql.adaptive.advisoryPartitionSizeInBytes", [], snapshots.series_alerts
+    before = spark.conf.get(name)
+    monkeypatch.setattr(snapshots, "series_alerts", lambda df, share: seen.append(df.sparkSession.conf.get(name)) or judge(df, share))
+    run_stream(spark, tmp_path, [keyed(spark, 20)]).count()
+    assert seen == ["16m"] and spark.conf.get(name) == before != "16m"
+
+
 def test_alert_stream_is_the_batch_form_in_any_order(spark, tmp_path):
     data = keyed(spark)
     want = rows(snapshots.series_alerts(spark.createDataFrame(data, SERIES)))
